@@ -39,7 +39,7 @@ def _histogram(df: DataFrame, series: dict[str, Column], bins: int) -> DataFrame
         width = (high - low) / bins
         edges += [(c, b, low + b * width, high if b == bins - 1 else low + (b + 1) * width) for b in range(bins)]
         place = F.least(F.floor((series[c] - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-        placed.append(place.alias(f"p{i}"))
+        placed.append(F.when(series[c].isNotNull(), place).alias(f"p{i}"))  # least() would skip a NULL
     names = list(limits)
     wide = df.select(*placed).withColumnsRenamed({f"p{i}": c for i, c in enumerate(names)})
     counted = (

@@ -86,7 +86,7 @@ def missing_values(df: DataFrame) -> DataFrame:
 
 
 def correlation(df: DataFrame, *, columns: Sequence[str] | None = None, exclude: Iterable[str] = (*ID_COLUMNS, "country_code")) -> DataFrame:
-    """Pearson correlation of every ordered pair of numeric columns, all in one pass.
+    """Pearson correlation of every ordered pair of numeric columns, in one pass, two if values are missing.
 
     Each pair uses the rows where both values are present.  A constant column
     correlates with nothing (NULL).  Fewer than two columns give no rows.
@@ -96,22 +96,31 @@ def correlation(df: DataFrame, *, columns: Sequence[str] | None = None, exclude:
     schema = "x string, y string, correlation double"
     if len(names) < 2:
         return df.sparkSession.createDataFrame([], schema)
-    aggregates = []
-    for i, a in enumerate(names):
-        aggregates.append(F.stddev_pop(as_number(a)).alias(f"d_{i}"))
-    for (i, a), (j, b) in combinations(enumerate(names), 2):
-        x, y = as_number(a), as_number(b)
-        spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
-        aggregates.append(F.try_divide(F.covar_pop(x, y), spread).alias(f"r_{i}_{j}"))
-    rows = []
-    for i, a in enumerate(names):
-        for j, b in enumerate(names):
-            if i == j:
-                r = F.when(F.col(f"d_{i}") > 0, F.lit(1.0))
-            else:
-                r = F.col(f"r_{min(i, j)}_{max(i, j)}")
-            rows.append({"x": F.lit(a), "y": F.lit(b), "correlation": r})
-    return rows_from_wide(df.agg(*aggregates), rows)
+    numbers = [as_number(c) for c in names]
+    aggregates = [F.count(F.lit(1)).alias("n")]
+    for i, x in enumerate(numbers):
+        aggregates += [F.count(x).alias(f"n_{i}"), F.stddev_pop(x).alias(f"d_{i}")]
+    pairs = list(combinations(range(len(names)), 2))
+    aggregates += [F.covar_pop(numbers[i], numbers[j]).alias(f"c_{i}_{j}") for i, j in pairs]
+    row = df.agg(*aggregates).first()
+    # The deviations of whole columns serve every pair without gaps; the others get their own.
+    complete = {i for i in range(len(names)) if row[f"n_{i}"] == row["n"]}
+    gappy = [(i, j) for i, j in pairs if not {i, j} <= complete]
+    spread = {(i, j): (row[f"d_{i}"] or 0.0) * (row[f"d_{j}"] or 0.0) for i, j in pairs}
+    if gappy:
+        own = []
+        for i, j in gappy:
+            x, y = numbers[i], numbers[j]
+            own.append((F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))).alias(f"s_{i}_{j}"))
+        found = df.agg(*own).first()
+        spread.update({(i, j): found[f"s_{i}_{j}"] or 0.0 for i, j in gappy})
+    r = {}
+    for i, j in pairs:
+        r[i, j] = r[j, i] = row[f"c_{i}_{j}"] / spread[i, j] if spread[i, j] else None
+    for i in range(len(names)):
+        r[i, i] = 1.0 if row[f"d_{i}"] else None
+    rows = [(a, b, r[i, j]) for i, a in enumerate(names) for j, b in enumerate(names)]
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def _moment(df: DataFrame, ts: str):
@@ -137,8 +146,9 @@ def weekday_counts(df: DataFrame, *, ts: str = "txn_ts") -> DataFrame:
 
 
 def daily_counts(df: DataFrame, *, ts: str = "txn_ts") -> DataFrame:
-    """Rows per calendar day, days that occur only."""
-    return df.groupBy(_moment(df, ts).cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n")).where("day is not null").orderBy("day")
+    """Rows per calendar day (its midnight), days that occur only."""
+    day = _moment(df, ts).cast("date").cast("timestamp_ntz").alias("day")
+    return df.groupBy(day).agg(F.count(F.lit(1)).alias("n")).where("day is not null").orderBy("day")
 
 
 def top_categories(
