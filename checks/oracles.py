@@ -67,7 +67,7 @@ def stacked_texts(columns, source: str, keep: str = "") -> str:
     return f"SELECT * FROM (UNPIVOT (SELECT {extra}{', '.join(columns)} FROM {source}) ON {', '.join(columns)} INTO NAME variable VALUE x)"
 
 
-FIFTHS = "[0.0, 0.2, 0.4, 0.6, 0.8, 1.0]"
+FIFTHS = "[0.0, 0.2, 0.4, 0.6000000000000001, 0.8, 1.0]"  # multiples of one step
 
 VIEWS = {
     "transactions": """transactions AS (

@@ -41,6 +41,8 @@ NUMBERS = ("country_code", "amount", "value", "pricing_strategy", "fraud_result"
 ROW_ORDER = ("txn_ts", "transaction_id", "provider_id", "product_id", "product_category", "value", "amount", "account_id")
 ROW_KEY = ("transaction_id", "txn_ts", "product_id", "provider_id", "value")
 
+MODEL_COLUMNS = tuple(dict.fromkeys((*ROW_KEY, *MODEL_FEATURES, "risk_label")))
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -79,8 +81,8 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
     return rfms.score_rfms(customers(spark, sf))
 
 
-def labelled(spark: SparkSession, sf: str) -> DataFrame:
-    return evidence.labelled_rows(tx(spark, sf), as_of=AS_OF)
+def labelled(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    return evidence.labelled_rows(tx(spark, sf), as_of=AS_OF, columns=columns or None)
 
 
 def model_set(spark: SparkSession, sf: str) -> models.TrainingSet:
@@ -121,7 +123,7 @@ def write_features(spark, sf):
 @query
 def artefact_roundtrip(spark, sf):
     path = new_path(spark, "artefacts")
-    rows = labelled(spark, sf)
+    rows = labelled(spark, sf, *dict.fromkeys((*MODEL_COLUMNS, *NUMBERS, "currency_code")))
     data = models.TrainingSet.build(training.model_rows(rows, keep=ROW_KEY), by=ROW_KEY)
     saved = Artefacts(
         Scaler.fit(rows, NUMBERS),
@@ -424,7 +426,7 @@ def woe_report(spark, sf):
 
 @query
 def woe_transform(spark, sf):
-    e = evidence.build_evidence(labelled(spark, sf))
+    e = evidence.build_evidence(labelled(spark, sf, "transaction_id", "amount", "rfms_score", "provider_id", "risk_label"))
     both = e.numeric.where("variable in ('amount', 'rfms_score')").unionByName(
         e.categorical.where("variable = 'provider_id'")
     )
@@ -434,7 +436,7 @@ def woe_transform(spark, sf):
 
 @query
 def woe_by_segment(spark, sf):
-    rows = labelled(spark, sf)
+    rows = labelled(spark, sf, "value", "rfms_score", "product_category", "risk_label")
     bins = binning.QuantileBins.fit(rows, ["value", "rfms_score"])
     table = woe.woe_table(woe.numeric_counts(rows, bins, by=["product_category"]), by=["product_category"])
     return rounded(table.select("product_category", "variable", "bin_id", "good", "bad", "woe"))
@@ -497,7 +499,7 @@ def class_weights(spark, sf):
 
 @query
 def smote_rows(spark, sf):
-    rows = labelled(spark, sf)
+    rows = labelled(spark, sf, *MODEL_COLUMNS)
     coded = LabelEncoder.fit(rows, ["product_category"]).transform(rows)
     return smote.synthetic_rows(training.model_rows(coded), MODEL_FEATURES)
 
@@ -531,7 +533,7 @@ def best_model(spark, sf):
 
 @query
 def classification_metrics(spark, sf):
-    rows = features.encode_label(labelled(spark, sf))
+    rows = features.encode_label(labelled(spark, sf, "value", "risk_label"))
     judged = rows.select(
         "label",
         (F.col("value") / (F.col("value") + 50000.0)).alias("probability_good"),
@@ -542,7 +544,7 @@ def classification_metrics(spark, sf):
 
 @query
 def batch_scoring(spark, sf):
-    rows = labelled(spark, sf)
+    rows = labelled(spark, sf, *MODEL_COLUMNS)
     data = models.TrainingSet.build(training.model_rows(rows, keep=ROW_KEY), by=ROW_KEY)
     model = training.fit_scoring_model(data, max_depth=5)
     return score_requests(requests_from(rows), model).groupBy(*MODEL_FEATURES, "risk_label", "_error").agg(F.count(F.lit(1)).alias("n"))
@@ -551,7 +553,7 @@ def batch_scoring(spark, sf):
 @query
 def stream_scoring(spark, sf):
     """New order lines as a stream, scored with their customer's stored scores."""
-    rows = labelled(spark, sf)
+    rows = labelled(spark, sf, *MODEL_COLUMNS)
     data = models.TrainingSet.build(training.model_rows(rows, keep=ROW_KEY), by=ROW_KEY)
     model = training.fit_scoring_model(data, max_depth=5)
     known = materialize(scored(spark, sf).select("customer_id", "recency_score", "rfms_score"), "scores")

@@ -14,10 +14,11 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorespark.functions.columns import as_number, count_if
+from scorespark.functions.columns import as_number
 
 SMALL_ROWS = 500_000
 SKETCH_SIZE = 2_000
@@ -29,7 +30,7 @@ class _Target:
     """One order statistic being searched: rank ``rank`` (from 0) of ``column``.
 
     Its value lies strictly between ``low`` and ``high``; None is unbounded.
-    ``below`` counts rows at or under ``low`` and ``inside`` the rows between.
+    ``below`` counts the column's values up to ``low``, ``inside`` those between.
     """
 
     column: str
@@ -40,97 +41,139 @@ class _Target:
     high: float | None = None
     value: float | None = None
 
-    def between(self) -> Column:
-        x = as_number(self.column)
-        cond = x.isNotNull()
-        if self.low is not None:
-            cond = cond & (x > self.low)
-        if self.high is not None:
-            cond = cond & (x < self.high)
-        return cond
+    @property
+    def interval(self) -> tuple[str, float | None, float | None]:
+        return self.column, self.low, self.high
 
 
-def _sketches(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """One sketch per named column, merged in two steps so that no task reads all partials."""
-    groups = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
-    partial = df.groupBy(groups.alias("g")).agg(
-        *[F.kll_sketch_agg_double(c, F.lit(SKETCH_SIZE)).alias(n) for n, c in columns.items()]
-    )
-    return partial.agg(*[F.kll_merge_agg_double(n).alias(n) for n in columns])
+def _between(interval: tuple[str, float | None, float | None]) -> Column:
+    column, low, high = interval
+    x = as_number(column)
+    inside = x.isNotNull()
+    if low is not None:
+        inside = inside & (x > low)
+    if high is not None:
+        inside = inside & (x < high)
+    return inside
+
+
+def _stacked(df: DataFrame, parts: dict[str, Column]) -> DataFrame:
+    """(series, item): the named columns under one another."""
+    return df.select(*[c.alias(n) for n, c in parts.items()]).unpivot([], list(parts), "series", "item")
 
 
-def _pivots(df: DataFrame, targets: list[_Target]) -> list[list[float]]:
-    """For each target up to four values of the open interval that should enclose its rank."""
-    # Targets often share an interval (all of them do at first): sketch each interval once.
-    keys = {(t.column, t.low, t.high): t for t in targets}
-    names = {key: f"s{i}" for i, key in enumerate(keys)}
-    sketches = _sketches(
-        df, {names[k]: F.when(t.between(), as_number(t.column)) for k, t in keys.items()}
+def _pivots(df: DataFrame, targets: list[_Target]) -> dict[str, list[float]]:
+    """Per column, values near the wanted ranks.
+
+    Targets often share an interval, at first all of them do, so each interval
+    is sketched once.  Partial sketches are merged in two steps, which keeps
+    any one task from reading them all.
+    """
+    names = {interval: f"s{i}" for i, interval in enumerate(dict.fromkeys(t.interval for t in targets))}
+    groups = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
+    partial = df.groupBy(groups.alias("g")).agg(
+        *[
+            F.kll_sketch_agg_double(F.when(_between(i), as_number(i[0])), F.lit(SKETCH_SIZE)).alias(n)
+            for i, n in names.items()
+        ]
     )
+    sketches = partial.agg(*[F.kll_merge_agg_double(n).alias(n) for n in names.values()])
     slack = 8.0 / SKETCH_SIZE
     picks = []
     for i, t in enumerate(targets):
         at = (t.rank - t.below) / max(t.inside - 1, 1)
         points = sorted({min(max(at + d * slack, 0.0), 1.0) for d in (-1, 0, 1)})
-        name = names[(t.column, t.low, t.high)]
-        picks.append(
-            F.array(*[F.kll_sketch_get_quantile_double(name, F.lit(p)) for p in points]).alias(f"t{i}")
-        )
+        sketch = names[t.interval]
+        picks.append(F.array(*[F.kll_sketch_get_quantile_double(sketch, F.lit(p)) for p in points]).alias(f"t{i}"))
     row = sketches.select(*picks).first()
-    return [sorted({v for v in row[i] if v is not None}) for i in range(len(targets))]
+    found: dict[str, set[float]] = {}
+    for i, t in enumerate(targets):
+        found.setdefault(t.column, set()).update(v for v in row[i] if v is not None)
+    return {c: sorted(values) for c, values in found.items()}
 
 
 def _narrow(df: DataFrame, targets: list[_Target]) -> None:
-    """Shrink every target's interval to one between neighbouring pivots, by exact counts."""
+    """Shrink every target's interval to one between neighbouring pivots, by exact counts.
+
+    A row's place among the pivots of its column is a small integer, even for
+    gaps and odd for the pivots themselves, so one grouped count serves all.
+    """
     pivots = _pivots(df, targets)
-    counts = []
-    for i, (t, values) in enumerate(zip(targets, pivots)):
-        x = as_number(t.column)
-        for j, v in enumerate(values):
-            counts.append(count_if(t.between() & (x < v)).alias(f"lt_{i}_{j}"))
-            counts.append(count_if(t.between() & (x <= v)).alias(f"le_{i}_{j}"))
-    row = df.agg(*counts).first()
-    for i, (t, values) in enumerate(zip(targets, pivots)):
-        wanted = t.rank - t.below
-        low, high, under, upto = t.low, t.high, 0, t.inside
-        for j, v in enumerate(values):
-            less, less_equal = row[f"lt_{i}_{j}"], row[f"le_{i}_{j}"]
-            if less <= wanted < less_equal:
-                t.value = v
-                break
-            if less_equal <= wanted:
-                low, under = v, less_equal
-            else:
-                high, upto = v, less
-                break
-        if t.value is None:
-            t.low, t.high = low, high
-            t.below += under
-            t.inside = upto - under
+    names = {f"c{i}": c for i, c in enumerate(pivots)}
+    infinity = float("inf")
+    bucketizer = Bucketizer(
+        splitsArray=[[-infinity, *pivots[c], infinity] for c in names.values()],
+        inputCols=list(names),
+        outputCols=[f"k{n}" for n in names],
+        handleInvalid="keep",
+    )
+    # Binary search for the pivots up to a value; then, whether the last of them equals it.
+    bucketed = bucketizer.transform(df.select(*[as_number(c).alias(n) for n, c in names.items()]))
+    places = {}
+    for n, c in names.items():
+        upto = F.col(f"k{n}").cast("int")
+        last = F.get(F.array(*[F.lit(v) for v in pivots[c]]), upto - 1)
+        places[n] = F.when(F.col(n).isNotNull(), 2 * upto - F.when(last == F.col(n), 1).otherwise(0))
+    counted = _stacked(bucketed, places).where("item IS NOT NULL").groupBy("series", "item").count()
+    sizes: dict[str, dict[int, int]] = {c: {} for c in pivots}
+    for row in counted.collect():
+        sizes[names[row["series"]]][row["item"]] = row["count"]
+    for c, values in pivots.items():
+        known, upto = [], 0  # (pivot, values below it, values up to it)
+        for i, v in enumerate(values):
+            less = upto + sizes[c].get(2 * i, 0)
+            upto = less + sizes[c].get(2 * i + 1, 0)
+            known.append((v, less, upto))
+        for t in targets:
+            if t.column != c:
+                continue
+            end = t.below + t.inside
+            for v, less, less_equal in known:
+                if less <= t.rank < less_equal:
+                    t.value = v
+                elif less_equal <= t.rank and (t.low is None or v > t.low):
+                    t.low, t.below = v, less_equal
+                elif t.rank < less and (t.high is None or v < t.high):
+                    t.high, end = v, less
+            t.inside = end - t.below
 
 
 def _finish(df: DataFrame, targets: list[_Target]) -> None:
-    """Read the values off intervals that hold few rows: count values, walk up to the rank."""
-    hits = F.array_compact(
-        F.array(
-            *[
-                F.when(t.between(), F.struct(F.lit(i).alias("t"), as_number(t.column).alias("x")))
-                for i, t in enumerate(targets)
-            ]
-        )
-    )
-    counted = (
-        df.select(F.explode(hits).alias("h")).groupBy(F.col("h.t").alias("t"), F.col("h.x").alias("x")).count()
-    )
+    """Read the values off intervals that hold few rows: count values, walk up to the rank.
+
+    Intervals of one column lie between neighbouring pivots and do not overlap,
+    so a row belongs to one of them at most.
+    """
+    numbers = {interval: i for i, interval in enumerate(dict.fromkeys(t.interval for t in targets))}
+    series = {}
+    for c in dict.fromkeys(t.column for t in targets):
+        which = F.lit(None).cast("int")
+        for interval, i in numbers.items():
+            if interval[0] == c:
+                which = F.when(_between(interval), i).otherwise(which)
+        series[c] = F.struct(which.alias("t"), as_number(c).alias("x"))
+    rows = _stacked(df, {f"c{i}": s for i, s in enumerate(series.values())}).where("item.t IS NOT NULL")
+    counted = rows.groupBy(F.col("item.t").alias("t"), F.col("item.x").alias("x")).count()
     order = Window.partitionBy("t").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    wanted = F.element_at(F.array(*[F.lit(t.rank - t.below) for t in targets]), F.col("t") + 1)
+    wanted: dict[int, list[_Target]] = {}
+    for t in targets:
+        wanted.setdefault(numbers[t.interval], []).append(t)
+    ranks = F.create_map(
+        *[
+            part
+            for i, ts in wanted.items()
+            for part in (F.lit(i), F.array(*[F.lit(t.rank - t.below).cast("bigint") for t in ts]))
+        ]
+    )
     found = (
         counted.withColumn("upto", F.sum("count").over(order))
-        .where((F.col("upto") > wanted) & (F.col("upto") - F.col("count") <= wanted))
-        .select("t", "x")
+        .withColumn("from", F.col("upto") - F.col("count"))
+        .where(F.exists(ranks[F.col("t")], lambda r: (F.col("upto") > r) & (F.col("from") <= r)))
     )
     for row in found.collect():
-        targets[row["t"]].value = row["x"]
+        for t in wanted[row["t"]]:
+            if row["from"] <= t.rank - t.below < row["upto"]:
+                t.value = row["x"]
 
 
 def exact_quantiles(

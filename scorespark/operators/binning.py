@@ -25,7 +25,9 @@ class QuantileBins:
     def fit(cls, df: DataFrame, columns: Sequence[str] | None = None, *, n_bins: int = 5, ignore: Iterable[str] = ()) -> QuantileBins:
         skip = set(ignore)
         columns = [c for c in (columns if columns is not None else numeric_columns(df)) if c not in skip]
-        found = exact_quantiles(df, columns, [i / n_bins for i in range(n_bins + 1)])
+        # Multiples of one step, as evenly spaced grids are computed: 3 * 0.2 is not 0.6, and
+        # where a rank falls on a value exactly the last bit decides whether an edge is new.
+        found = exact_quantiles(df, columns, [*(i * (1.0 / n_bins) for i in range(n_bins)), 1.0])
         return cls({c: sorted({e for e in found[c] if e is not None}) for c in columns})
 
     def assign(self, column: str, value: Column | None = None) -> Column:

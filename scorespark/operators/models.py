@@ -60,22 +60,10 @@ class Preparation:
     def fit(cls, points: DataFrame) -> Preparation:
         """Scale the three numeric features, number the product category.
 
-        ``points`` are weighted rows, so the scaler is fitted on their sums.
+        Each of ``points`` stands for ``n`` rows.
         """
-        weighted = points.select(
-            *[F.expr(f"try_cast({c} AS DOUBLE)").alias(c) for c in MODEL_FEATURES[:3]], "n"
-        )
-        moments = []
-        for i, c in enumerate(MODEL_FEATURES[:3]):
-            n = F.sum(F.when(F.col(c).isNotNull(), F.col("n")))
-            mean = F.try_divide(F.sum(F.col(c) * F.col("n")), n)
-            moments += [mean.alias(f"m{i}"), n.alias(f"n{i}")]
-        first = weighted.agg(*moments).first()
-        means = [first[f"m{i}"] for i in range(3)]
-        spreads = weighted.agg(
-            *[F.sqrt(F.sum((F.col(c) - F.lit(means[i])) ** 2 * F.col("n")) / first[f"n{i}"]) for i, c in enumerate(MODEL_FEATURES[:3])]
-        ).first()
-        scaler = Scaler({c: (means[i], spreads[i]) for i, c in enumerate(MODEL_FEATURES[:3])})
+        numbers = points.withColumns({c: F.expr(f"try_cast({c} AS DOUBLE)") for c in MODEL_FEATURES[:3]})
+        scaler = Scaler.fit(numbers, MODEL_FEATURES[:3], weight="n")
         categories = LabelEncoder.fit(points, [MODEL_FEATURES[3]]).labels(MODEL_FEATURES[3])
         return cls(_preparation(scaler, categories), categories)
 

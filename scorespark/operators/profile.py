@@ -69,9 +69,18 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 def cardinality(df: DataFrame, *, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
     """Distinct non-null values per column; the approximate form needs no shuffle of values."""
     columns = list(columns if columns is not None else df.columns)
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    wide = df.agg(*[count(c).alias(f"d_{i}") for i, c in enumerate(columns)])
-    return rows_from_wide(wide, [{"variable": F.lit(c), "n_values": F.col(f"d_{i}")} for i, c in enumerate(columns)])
+    if approximate:
+        wide = df.agg(*[F.approx_count_distinct(c).alias(f"d_{i}") for i, c in enumerate(columns)])
+        return rows_from_wide(wide, [{"variable": F.lit(c), "n_values": F.col(f"d_{i}")} for i, c in enumerate(columns)])
+    # Columns under one another as (number, text): a narrower key than one distinct
+    # aggregate per column, whose expanded rows carry every column.
+    kinds = dict(df.dtypes)
+    texts = [(F.col(c) + 0.0 if kinds[c] in ("double", "float") else F.col(c)).cast("string").alias(f"c{i}") for i, c in enumerate(columns)]
+    names = {f"c{i}": c for i, c in enumerate(columns)}
+    long = df.select(*texts).unpivot([], list(names), "series", "value")
+    counted = long.groupBy("series", "value").agg(F.count(F.lit(1)).alias("n")).groupBy("series").agg(F.count("value").alias("n_values"))
+    title = F.create_map(*[F.lit(part) for pair in names.items() for part in pair])
+    return counted.select(title[F.col("series")].alias("variable"), "n_values")
 
 
 def missing_values(df: DataFrame) -> DataFrame:

@@ -18,13 +18,22 @@ class Scaler:
     parameters: dict[str, tuple[float | None, float | None]]
 
     @classmethod
-    def fit(cls, df: DataFrame, columns: Sequence[str] | None = None) -> Scaler:
+    def fit(cls, df: DataFrame, columns: Sequence[str] | None = None, *, weight: str | None = None) -> Scaler:
+        """Parameters over the rows of ``df``, each standing for ``weight`` rows if given."""
         columns = list(columns if columns is not None else numeric_columns(df))
-        aggregates = [
-            f(as_number(c)).alias(f"{p}{i}") for i, c in enumerate(columns) for p, f in (("m", F.avg), ("s", F.stddev_pop))
-        ]
-        row = df.agg(*aggregates).first() if columns else None
-        return cls({c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(columns)})
+        if not columns:
+            return cls({})
+        numbers = [as_number(c) for c in columns]
+        if weight is None:
+            row = df.agg(*[f(x).alias(f"{p}{i}") for i, x in enumerate(numbers) for p, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+            return cls({c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(columns)})
+        w = F.col(weight)
+        share = [F.sum(F.when(x.isNotNull(), w)) for x in numbers]
+        means = df.agg(*[F.try_divide(F.sum(x * w), n) for x, n in zip(numbers, share)]).first()
+        spread = df.agg(
+            *[F.sqrt(F.try_divide(F.sum((x - F.lit(m)) * (x - F.lit(m)) * w), n)) for x, n, m in zip(numbers, share, means)]
+        ).first()
+        return cls({c: (means[i], spread[i]) for i, c in enumerate(columns)})
 
     @classmethod
     def from_table(cls, table: DataFrame) -> Scaler:

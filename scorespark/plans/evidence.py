@@ -28,9 +28,14 @@ class Evidence:
     numeric_names: list[str]
 
 
-def labelled_rows(transactions: DataFrame, *, as_of=None) -> DataFrame:
-    """Labelled transactions, stored once because edges and counts each read them."""
-    return materialize(label_transactions(transactions, as_of=as_of), "labelled")
+def labelled_rows(transactions: DataFrame, *, as_of=None, columns: Sequence[str] | None = None) -> DataFrame:
+    """Labelled transactions, stored once because edges and counts each read them.
+
+    Without ``columns`` everything but the identifying columns is stored.
+    """
+    labelled = label_transactions(transactions, as_of=as_of)
+    keep = columns if columns is not None else [c for c in labelled.columns if c not in NOT_BINNED]
+    return materialize(labelled.select(*keep), "labelled")
 
 
 def build_evidence(
