@@ -19,7 +19,7 @@ from checks.queries import QUERIES  # noqa: E402
 from scorespark.session import build_session  # noqa: E402
 
 HEADLINES = (
-    "risk_labels rfms_measures customer_aggregates customer_aggregates_joined label_transactions "
+    "risk_labels rfms customer_aggregates customer_aggregates_joined label_transactions "
     "feature_table standardize label_encode parse_ids date_features "
     "woe_numeric woe_categorical iv_numeric quantile_bins categorical_bin_columns woe_transform "
     "describe_numeric correlation_long cardinality top_categories account_samples "

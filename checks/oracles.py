@@ -195,6 +195,9 @@ def pairs() -> str:
     )
 
 
+# The label follows from the score alone, so a tree of sufficient depth learns it without error.
+SCORED_REQUESTS = """SELECT rfms_score, recency_score, CAST(pricing_strategy AS VARCHAR) AS pricing_strategy, product_category, risk_label,
+        NULL::VARCHAR AS _error, count(*) AS n FROM labelled GROUP BY ALL"""
 GROUPED_LABELS = "risk_label, count(*) AS n"
 OUTLIER = "quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.75) AS q3"
 FEATURE_NUMBERS = (*NUMBERS, "hour", "day", "month", "year", "total_transaction", "average_transaction", "transaction_count", "std_transaction")
@@ -216,7 +219,7 @@ ORACLES = {
     "encode_label": over("scored", "SELECT customer_id, CAST(CASE WHEN risk_label = 'Good' THEN 1 ELSE 0 END AS INT) AS label FROM labels_of"),
     "customer_aggregates_joined": over("aggregates", f"SELECT t.*, {AMOUNTS_OUT} FROM transactions t LEFT JOIN aggregates USING (customer_id)"),
     "label_transactions": over("labelled", "SELECT * FROM labelled"),
-    "rfms_measures": over("rfms", "SELECT customer_id, recency, frequency, round(monetary, 4) AS monetary, round(std_deviation, 4) AS std_deviation FROM rfms"),
+    "rfms": over("rfms", "SELECT customer_id, recency, frequency, round(monetary, 4) AS monetary, round(std_deviation, 4) AS std_deviation FROM rfms"),
     "customer_aggregates": over("aggregates", f"SELECT customer_id, {AMOUNTS_OUT} FROM aggregates"),
     "customer_profile": over(
         "event_transactions",
@@ -422,6 +425,8 @@ ORACLES = {
         SELECT round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall,
         round(2 * tp / (2 * tp + fp + fn), 6) AS f1, round(auc, 6) AS roc_auc FROM c, area""",
     ),
+    "batch_scoring": over("labelled", SCORED_REQUESTS),
+    "stream_scoring": over("labelled", SCORED_REQUESTS),
     "histogram_linear": over("transactions", histogram("transactions", {c: f"{c}::DOUBLE" for c in ("value", "amount", "pricing_strategy")}, 15)),
     "histogram_log": over("event_transactions", histogram("event_transactions", {"value": log10_of("value")}, 30)),
     "histogram_credit_debit": over("event_transactions", histogram("event_transactions", {"credit": log10_of("(-amount)"), "debit": log10_of("amount")}, 30)),

@@ -48,7 +48,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(f: Query) -> Query:
-    QUERIES[f.__name__] = f
+    """Register under the function's name, less the underscore that avoids a module's name."""
+    QUERIES[f.__name__.rstrip("_")] = f
     return f
 
 
@@ -209,7 +210,7 @@ def label_transactions(spark, sf):
 
 
 @query
-def rfms_measures(spark, sf):
+def rfms_(spark, sf):
     return rounded(customers(spark, sf), 4)
 
 
