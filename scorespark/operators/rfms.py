@@ -12,7 +12,6 @@ from scorespark.functions.columns import as_number
 
 DEFAULT_WEIGHTS = (0.1, 0.2, 0.5, 0.2)
 LABEL_QUANTILE = 0.55
-MICROSECONDS_PER_DAY = 86_400_000_000
 
 # (measure, score, does a high measure mean a high score)
 MEASURES = (
@@ -33,8 +32,10 @@ def _moment(as_of: str | dt.datetime | Column | None) -> Column:
 
 def recency_days(latest: Column, as_of: str | dt.datetime | Column | None = None) -> Column:
     """Whole days from ``latest`` to ``as_of`` (now, in UTC, if not given), rounded down."""
-    gap = F.timestamp_diff("MICROSECOND", latest, _moment(as_of))
-    return F.floor(gap / F.lit(MICROSECONDS_PER_DAY)).cast("bigint")
+    # Wall-clock difference: unlike timestampdiff it does not depend on the session's time zone.
+    gap = _moment(as_of) - latest.cast("timestamp_ntz")
+    days = F.extract(F.lit("DAY"), gap)  # cut towards zero
+    return (days - F.when(gap < F.make_dt_interval(days=days), 1).otherwise(0)).cast("bigint")
 
 
 def rfms_measures(

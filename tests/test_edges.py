@@ -32,6 +32,19 @@ def test_recency_rounds_down(spark):
     assert got == {"a": -1, "b": 0}
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_recency_in_other_time_zones(spark, zone):
+    moments = [dt.datetime(2020, 3, 7, 12), dt.datetime(2020, 3, 7, 12, 0, 0, 1), dt.datetime(2020, 3, 10, 11, 59), dt.datetime(2020, 10, 31, 12)]
+    df = txns(spark, [(f"c{i}", "t", 1.0, m) for i, m in enumerate(moments)])
+    as_of = dt.datetime(2020, 3, 9, 12)
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = {r["customer_id"]: r["recency"] for r in rfms.customer_rfms(df, as_of=as_of).collect()}
+        assert got == {f"c{i}": (as_of - m).days for i, m in enumerate(moments)}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_customers_without_name_are_left_out(spark):
     df = txns(spark, [(None, "t1", 5.0, day(2)), ("b", None, None, day(1))])
     (row,) = rfms.customer_rfms(df, as_of="2020-01-02").collect()
