@@ -6,12 +6,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from scorespark.functions.columns import categorical_columns, numeric_columns
 from scorespark.operators import features
 from scorespark.operators.encoding import LabelEncoder
-from scorespark.operators.joins import attach
 from scorespark.operators.scaling import Scaler
 from scorespark.schema import ID_COLUMNS
 from scorespark.session import materialize
@@ -34,21 +32,14 @@ def build_feature_table(
     """Features with the fitted scaler and encoder.
 
     Rows are dropped before the customer aggregates, so a customer with one
-    transaction keeps an empty deviation.  An aggregate appears once per row of
-    its customer; its scale is therefore fitted on the customer table, weighted
-    by rows, and transactions are joined only once, for the result.
+    transaction keeps an empty deviation.  Whether a row is complete depends on
+    all its columns, so the joined rows are stored once: both fits then read
+    only the columns they need, and neither check nor join is repeated.
     """
     complete = features.drop_incomplete(features.add_date_parts(transactions))
-    customers = materialize(
-        complete.groupBy(key).agg(*features.amount_measures(), F.count(F.lit(1)).alias("_rows")), "customers"
-    )
-    aggregates = [c for c in customers.columns if c not in (key, "_rows")]
-    rows = attach(complete, customers.drop("_rows"), key, cut=False)
-    chosen = list(scale if scale is not None else numeric_columns(rows))
+    rows = materialize(features.with_customer_aggregates(complete, key=key), "features")
     encode = list(encode if encode is not None else categorical_columns(rows, exclude=ID_COLUMNS))
-    own = Scaler.fit(complete, [c for c in chosen if c not in aggregates])
-    joined = Scaler.fit(customers, [c for c in chosen if c in aggregates], weight="_rows")
-    scaler = Scaler({c: (own.parameters.get(c) or joined.parameters[c]) for c in chosen})
-    encoder = LabelEncoder.fit(complete, encode)
+    scaler = Scaler.fit(rows, scale if scale is not None else numeric_columns(rows))
+    encoder = LabelEncoder.fit(rows, encode)
     scaled = scaler.transform(rows)
     return FeatureTable(encoder.transform(features.parse_id_columns(scaled), encode), scaler, encoder)
