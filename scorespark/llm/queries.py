@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from scorespark.llm.repetition import repetition_rules
+from scorespark.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,3 +25,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op1_suffix_repetition(spark, sf):
     return repetition_rules(table(spark, sf, "documents")).drop("longest_repeat")
+
+
+@query
+def op9_simhash_variants(spark, sf):
+    return near_duplicates(table(spark, sf, "documents"))
