@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from scorespark.llm.repetition import repetition_rules
 from scorespark.llm.simhash import near_duplicates
+from scorespark.llm.token_files import token_output
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +31,11 @@ def op1_suffix_repetition(spark, sf):
     return repetition_rules(table(spark, sf, "documents")).drop("longest_repeat")
 
 
+@query
+def op5_simple8b_tokens(spark, sf):
+    return token_output(table(spark, sf, "documents"), tokenizer=TOKENIZER)
+
+
 @query
 def op9_simhash_variants(spark, sf):
     return near_duplicates(table(spark, sf, "documents"))
