@@ -46,3 +46,38 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_co
        NOT base_failed AND n_covered_words <= 0.2 * n_words AND NOT long_repeat AS kept
 FROM b
 """
+
+# The tilt of a source has the closed form target / size; the capped sources are the first ones
+# by size per weight, up to where the rest fits.
+ORACLES["op7_entropy_mix"] = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
+), w AS (
+  SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY encode(source) NULLS LAST)) - 1) % 3 + 1]::DOUBLE AS weight FROM s
+), o AS (
+  SELECT *, row_number() OVER (ORDER BY source_size / weight, source) AS k FROM w
+), c AS (
+  SELECT k, 3.0::DOUBLE * source_size / weight AS own,
+         ((SELECT sum(source_size) FROM s)
+           - coalesce(sum(3.0::DOUBLE * source_size) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM o
+), v AS (
+  SELECT level FROM c WHERE own >= level ORDER BY k LIMIT 1
+), t AS (
+  SELECT source, source_size, least(3.0::DOUBLE * source_size, weight * (SELECT level FROM v)) AS target FROM w
+), r AS (
+  SELECT *, CASE WHEN source_size > 0 THEN round(target / source_size, 9) ELSE 1 END AS rate FROM t
+), p AS (
+  SELECT d.doc_id, d.size, r.source_size, r.target, r.rate,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(d.doc_id::VARCHAR, '')), coalesce(d.doc_id::VARCHAR, ''), d.size
+                           ROWS UNBOUNDED PRECEDING) - d.size / 2 AS middle
+  FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
+), n AS (
+  SELECT *, (floor(rate) + CASE WHEN rate > floor(rate) AND middle <= (rate - floor(rate)) * source_size THEN 1 ELSE 0 END)::INTEGER AS copies
+  FROM p
+)
+SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM n
+"""

@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from scorespark.llm.mixing import mix_table
 from scorespark.llm.repetition import repetition_rules
 from scorespark.llm.simhash import near_duplicates
 from scorespark.llm.token_files import token_output
@@ -36,6 +37,11 @@ def op5_simple8b_tokens(spark, sf):
     return token_output(table(spark, sf, "documents"), tokenizer=TOKENIZER)
 
 
+@query
+def op7_entropy_mix(spark, sf):
+    return mix_table(table(spark, sf, "documents")).drop("rate")
+
+
 @query
 def op9_simhash_variants(spark, sf):
     return near_duplicates(table(spark, sf, "documents"))
