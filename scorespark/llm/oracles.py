@@ -81,3 +81,37 @@ WITH d AS (
 )
 SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM n
 """
+
+# Any window within the allowed substitutions holds five words in a row unchanged,
+# so runs of five equal words name every alignment that can qualify.
+_WORDS = r"""list_filter(list_transform(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'),
+      lambda x: regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '^[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+$', '', 'g')),
+      lambda x: x <> '')"""
+ORACLES["op2_spaced_seeds"] = f"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents
+), b AS (
+  SELECT *, least(20, len(v)) AS size,
+         CASE WHEN len(v) >= 20 THEN 3 WHEN len(v) >= 15 THEN 2 WHEN len(v) >= 14 THEN 1 ELSE 0 END AS allowed
+  FROM (SELECT item_id, row_number() OVER () AS t, {_WORDS} AS v FROM benchmark) WHERE len(v) >= 7
+), dg AS (
+  SELECT r, i, w[i : i + 4] AS g FROM (SELECT r, w, unnest(generate_series(1, len(w) - 4)) AS i FROM d)
+), bg AS (
+  SELECT t, j, v[j : j + 4] AS g FROM (SELECT t, v, unnest(generate_series(1, len(v) - 4)) AS j FROM b)
+), a AS (
+  SELECT DISTINCT r, t, i - j AS shift FROM dg JOIN bg USING (g)
+), x AS (
+  SELECT doc_id, item_id, w, v, size, allowed, shift,
+         unnest(generate_series(greatest(1, 1 - shift), least(len(v), len(w) - shift) - size + 1)) AS k
+  FROM a JOIN d USING (r) JOIN b USING (t)
+), y AS (
+  SELECT doc_id, item_id, len(v) AS n, k, size, allowed,
+         len(list_filter(range(size), lambda o: v[k + o] <> w[k + o + shift])) AS wrong
+  FROM x
+), z AS (
+  SELECT doc_id, item_id, n, wrong, unnest(generate_series(k, k + size - 1)) AS place FROM y WHERE wrong <= allowed
+)
+SELECT doc_id, item_id, max(n)::BIGINT AS item_words, count(DISTINCT place)::BIGINT AS covered_words, min(wrong)::BIGINT AS substitutions
+FROM z GROUP BY doc_id, item_id
+"""

@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from scorespark.llm.decontamination import benchmark_overlaps
 from scorespark.llm.mixing import mix_table
 from scorespark.llm.repetition import repetition_rules
 from scorespark.llm.simhash import near_duplicates
@@ -32,6 +33,11 @@ def op1_suffix_repetition(spark, sf):
     return repetition_rules(table(spark, sf, "documents")).drop("longest_repeat")
 
 
+@query
+def op2_spaced_seeds(spark, sf):
+    return benchmark_overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query
 def op5_simple8b_tokens(spark, sf):
     return token_output(table(spark, sf, "documents"), tokenizer=TOKENIZER)
