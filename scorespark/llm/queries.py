@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scorespark.llm.decontamination import benchmark_overlaps
 from scorespark.llm.mixing import mix_table
+from scorespark.llm.quality import quality_scores
 from scorespark.llm.repetition import repetition_rules
 from scorespark.llm.simhash import near_duplicates
 from scorespark.llm.token_files import token_output
@@ -48,6 +49,11 @@ def op7_entropy_mix(spark, sf):
     return mix_table(table(spark, sf, "documents")).drop("rate")
 
 
+@query
+def op8_random_indexing(spark, sf):
+    return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query
 def op9_simhash_variants(spark, sf):
     return near_duplicates(table(spark, sf, "documents"))
