@@ -115,3 +115,19 @@ WITH d AS (
 SELECT doc_id, item_id, max(n)::BIGINT AS item_words, count(DISTINCT place)::BIGINT AS covered_words, min(wrong)::BIGINT AS substitutions
 FROM z GROUP BY doc_id, item_id
 """
+
+ORACLES["op6_zip_packages"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, upper(sha1(coalesce(html, ''))) AS h,
+         min(page_id) OVER (PARTITION BY sha1(coalesce(html, ''))) AS first
+  FROM pages
+), q AS (
+  SELECT *, first IS NOT NULL AND coalesce(page_id > first, TRUE) AS again,
+         array_to_string(list_transform(range(32), lambda k:
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((('0x' || h[(k // 4) * 5 + 1 : (k // 4) * 5 + 5])::BIGINT >> (15 - 5 * (k % 4))) & 31) + 1]), '') AS payload_digest
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first END AS refers_to
+FROM q
+"""

@@ -13,6 +13,7 @@ from scorespark.llm.quality import quality_scores
 from scorespark.llm.repetition import repetition_rules
 from scorespark.llm.simhash import near_duplicates
 from scorespark.llm.token_files import token_output
+from scorespark.llm.warc_zip import archived
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -44,6 +45,11 @@ def op5_simple8b_tokens(spark, sf):
     return token_output(table(spark, sf, "documents"), tokenizer=TOKENIZER)
 
 
+@query
+def op6_zip_packages(spark, sf):
+    return archived(table(spark, sf, "pages"))
+
+
 @query
 def op7_entropy_mix(spark, sf):
     return mix_table(table(spark, sf, "documents")).drop("rate")
