@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from scorespark.llm.decontamination import benchmark_overlaps
+from scorespark.llm.language_model import language_model_scores
 from scorespark.llm.mixing import mix_table
 from scorespark.llm.quality import quality_scores
 from scorespark.llm.repetition import repetition_rules
@@ -63,3 +64,8 @@ def op8_random_indexing(spark, sf):
 @query
 def op9_simhash_variants(spark, sf):
     return near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op10_gated_language_model(spark, sf):
+    return language_model_scores(table(spark, sf, "documents"))
