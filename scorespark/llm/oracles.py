@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from scorespark.llm.licences import CUE, THRESHOLD, TEMPLATES, TOKEN
+
 ORACLES: dict[str, str] = {}
 
 # Spans of repeated runs of L words or more are the words of repeated L-word windows,
@@ -131,3 +133,54 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' EL
        CASE WHEN again THEN first END AS refers_to
 FROM q
 """
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TEMPLATES = ",\n".join("({}, '{}', '{}')".format(k, name, text.replace("'", "''")) for k, (name, text) in enumerate(TEMPLATES))
+ORACLES["op4_licence_scan"] = rf"""
+WITH t(k, licence, text) AS (VALUES {_TEMPLATES}),
+tc AS (
+  SELECT k, licence, token, count(*) AS n
+  FROM (SELECT k, licence, unnest(regexp_extract_all({_LOWER.format('text')}, '{TOKEN}')) AS token FROM t) GROUP BY ALL
+), idf AS (
+  SELECT token, ln((1 + (SELECT count(*) FROM t))::DOUBLE / (1 + count(*))) + 1 AS idf FROM tc GROUP BY token
+), tw AS (
+  SELECT k, licence, token, (1 + ln(n)) * idf AS w FROM tc JOIN idf USING (token)
+), tn AS (
+  SELECT k, sqrt(sum(w * w)) AS length FROM tw GROUP BY k
+), d AS (
+  SELECT doc_id, row_number() OVER () AS r, source || '/' || lang AS folder, strlen(text) <= 400 AS notice, text
+  FROM documents
+), p AS (
+  SELECT r, text = passage AS is_whole, passage
+  FROM (SELECT r, text, unnest(list_concat([text], string_split_regex(text, '\n[ \t\r]*\n'), string_split(text, chr(10)))) AS passage FROM d)
+  WHERE regexp_matches(passage, '{CUE}')
+), u AS (
+  SELECT DISTINCT passage FROM p
+), uc AS (
+  SELECT passage, token, count(*) AS n
+  FROM (SELECT passage, unnest(regexp_extract_all({_LOWER.format('passage')}, '{TOKEN}')) AS token FROM u) GROUP BY ALL
+), uw AS (
+  SELECT passage, token, (1 + ln(n)) * coalesce(idf, ln(1 + (SELECT count(*) FROM t)) + 1) AS w FROM uc LEFT JOIN idf USING (token)
+), un AS (
+  SELECT passage, sqrt(sum(w * w)) AS length FROM uw GROUP BY passage
+), c AS (
+  SELECT passage, licence, round(sum(uw.w * tw.w) / any_value(un.length) / any_value(tn.length), 6) AS cosine
+  FROM uw JOIN tw USING (token) JOIN un USING (passage) JOIN tn USING (k) GROUP BY passage, k, licence
+), h AS (
+  SELECT r, is_whole, licence, cosine FROM p JOIN c USING (passage) WHERE cosine >= {THRESHOLD}
+), own AS (
+  SELECT r, first(licence ORDER BY cosine DESC, licence) AS licence, max(cosine) AS cosine, bool_or(is_whole) AS whole FROM h GROUP BY r
+), f AS (
+  SELECT folder AS directory, first(licence ORDER BY cosine DESC, licence) AS inherited, max(cosine) AS inherited_cosine
+  FROM own JOIN d USING (r) WHERE notice OR whole GROUP BY folder
+), n AS (
+  SELECT folder, first(directory ORDER BY strlen(directory) DESC) AS directory, first(inherited ORDER BY strlen(directory) DESC) AS inherited,
+         first(inherited_cosine ORDER BY strlen(directory) DESC) AS inherited_cosine
+  FROM (SELECT DISTINCT folder FROM d) JOIN f ON folder = directory OR starts_with(folder, directory || '/') OR directory = ''
+  GROUP BY folder
+)
+SELECT doc_id, coalesce(licence, inherited) AS licence, CASE WHEN licence IS NOT NULL THEN cosine ELSE inherited_cosine END AS cosine,
+       CASE WHEN licence IS NOT NULL THEN 'own' WHEN inherited IS NOT NULL THEN 'inherited' ELSE 'none' END AS how,
+       CASE WHEN licence IS NULL THEN directory END AS directory
+FROM d LEFT JOIN own USING (r) LEFT JOIN n USING (folder)
+"""

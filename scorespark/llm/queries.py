@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scorespark.llm.decontamination import benchmark_overlaps
+from scorespark.llm.html_text import visible_text
 from scorespark.llm.language_model import language_model_scores
+from scorespark.llm.licences import file_licences
 from scorespark.llm.mixing import mix_table
 from scorespark.llm.quality import quality_scores
 from scorespark.llm.repetition import repetition_rules
@@ -41,6 +44,18 @@ def op2_spaced_seeds(spark, sf):
     return benchmark_overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+@query
+def op3_page_layout(spark, sf):
+    return visible_text(table(spark, sf, "pages"))
+
+
+@query
+def op4_licence_scan(spark, sf):
+    """Documents as files of the directories source/lang; a short document that states a licence is its directory's notice."""
+    docs = table(spark, sf, "documents").withColumn("path", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")))
+    return file_licences(docs, is_notice=F.octet_length("text") <= 400)
+
+
 @query
 def op5_simple8b_tokens(spark, sf):
     return token_output(table(spark, sf, "documents"), tokenizer=TOKENIZER)
