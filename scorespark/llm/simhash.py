@@ -53,8 +53,11 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 
 def segments(max_bits: int) -> list[tuple[int, int]]:
-    """(first bit, length): so many that of ``max_bits`` differing bits one segment has at most one."""
-    n = max_bits // 2 + 1
+    """(first bit, length): so many that of ``max_bits`` differing bits one segment has at most one.
+
+    Three at least, so that a segment and the place of a bit fit a key.
+    """
+    n = max(3, max_bits // 2 + 1)
     edges = [64 * i // n for i in range(n + 1)]
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
