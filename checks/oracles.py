@@ -442,10 +442,9 @@ ORACLES = {
     "density_curve": over(
         "event_transactions",
         """, s AS (SELECT count(value)::DOUBLE AS n, stddev_samp(value) * count(value)::DOUBLE ** (-0.2::DOUBLE) AS h, min(value) AS lo, max(value) AS hi FROM event_transactions),
-        bins AS (SELECT lo + (least(floor((value - lo) / ((hi - lo) / 512)), 511) + 0.5) * ((hi - lo) / 512) AS mid, count(*) AS c FROM event_transactions, s GROUP BY 1),
         grid AS (SELECT CAST(i AS INT) AS point, lo + i * ((hi - lo) / 49) AS x FROM s, range(0, 50) t(i))
-        SELECT point, round(x, 8) AS x, round(sum(c * exp(-0.5 * ((x - mid) / h) ** 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 8) AS density
-        FROM grid, bins, s GROUP BY point, x""",
+        SELECT point, round(x, 8) AS x, round(sum(exp(-0.5 * ((x - value) / h) ** 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 8) AS density
+        FROM grid, event_transactions, s GROUP BY point, x""",
     ),
     "score_scatter": over("scored", "SELECT rfms_score, monetary_score, count(*) AS n FROM scored GROUP BY 1, 2"),
     "account_flow_features": over(

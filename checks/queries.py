@@ -560,7 +560,7 @@ def stream_scoring(spark, sf):
     known = materialize(scored(spark, sf).select("customer_id", "recency_score", "rfms_score"), "scores")
     tables = {n: spark.read.parquet(f"{sf}/{n}.parquet") for n in ("lineitem", "orders", "part")}
     arriving = spark.readStream.schema(tables["lineitem"].schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf)
-    stream = views.transactions_from(arriving, tables["orders"], tables["part"]).join(known, "customer_id")
+    stream = views.transactions_from(arriving, tables["orders"], tables["part"]).join(known, "customer_id", "left")
     path = new_path(spark, "scored")
     running = score_stream(requests_from(stream), model, path=path, checkpoint=new_path(spark, "progress"), until_done=True)
     running.awaitTermination()

@@ -23,13 +23,14 @@ from scorespark.functions.columns import as_number
 SMALL_ROWS = 500_000
 SKETCH_SIZE = 2_000
 MERGE_GROUPS = 64
+INFINITY = math.inf
 
 
 @dataclass
 class _Target:
     """One order statistic being searched: rank ``rank`` (from 0) of ``column``.
 
-    Its value lies strictly between ``low`` and ``high``; None is unbounded.
+    Its value lies strictly between ``low`` and ``high``, at first the infinities.
     ``below`` counts the column's values up to ``low``, ``inside`` those between.
     """
 
@@ -37,24 +38,24 @@ class _Target:
     rank: int
     inside: int
     below: int = 0
-    low: float | None = None
-    high: float | None = None
+    low: float = -INFINITY
+    high: float = INFINITY
     value: float | None = None
 
     @property
-    def interval(self) -> tuple[str, float | None, float | None]:
+    def interval(self) -> tuple[str, float, float]:
         return self.column, self.low, self.high
 
 
-def _between(interval: tuple[str, float | None, float | None]) -> Column:
-    column, low, high = interval
+def _number(column: str) -> Column:
     x = as_number(column)
-    inside = x.isNotNull()
-    if low is not None:
-        inside = inside & (x > low)
-    if high is not None:
-        inside = inside & (x < high)
-    return inside
+    return F.when(~F.isnan(x), x)
+
+
+def _between(interval: tuple[str, float, float]) -> Column:
+    column, low, high = interval
+    x = _number(column)
+    return x.isNotNull() & (x > low) & (x < high)
 
 
 def _stacked(df: DataFrame, parts: dict[str, Column]) -> DataFrame:
@@ -73,7 +74,7 @@ def _pivots(df: DataFrame, targets: list[_Target]) -> dict[str, list[float]]:
     groups = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
     partial = df.groupBy(groups.alias("g")).agg(
         *[
-            F.kll_sketch_agg_double(F.when(_between(i), as_number(i[0])), F.lit(SKETCH_SIZE)).alias(n)
+            F.kll_sketch_agg_double(F.when(_between(i), _number(i[0])), F.lit(SKETCH_SIZE)).alias(n)
             for i, n in names.items()
         ]
     )
@@ -100,15 +101,14 @@ def _narrow(df: DataFrame, targets: list[_Target]) -> None:
     """
     pivots = _pivots(df, targets)
     names = {f"c{i}": c for i, c in enumerate(pivots)}
-    infinity = float("inf")
     bucketizer = Bucketizer(
-        splitsArray=[[-infinity, *pivots[c], infinity] for c in names.values()],
+        splitsArray=[[-INFINITY, *pivots[c], INFINITY] for c in names.values()],
         inputCols=list(names),
         outputCols=[f"k{n}" for n in names],
         handleInvalid="keep",
     )
     # Binary search for the pivots up to a value; then, whether the last of them equals it.
-    bucketed = bucketizer.transform(df.select(*[as_number(c).alias(n) for n, c in names.items()]))
+    bucketed = bucketizer.transform(df.select(*[_number(c).alias(n) for n, c in names.items()]))
     places = {}
     for n, c in names.items():
         upto = F.col(f"k{n}").cast("int")
@@ -131,9 +131,9 @@ def _narrow(df: DataFrame, targets: list[_Target]) -> None:
             for v, less, less_equal in known:
                 if less <= t.rank < less_equal:
                     t.value = v
-                elif less_equal <= t.rank and (t.low is None or v > t.low):
+                elif less_equal <= t.rank and v > t.low:
                     t.low, t.below = v, less_equal
-                elif t.rank < less and (t.high is None or v < t.high):
+                elif t.rank < less and v < t.high:
                     t.high, end = v, less
             t.inside = end - t.below
 
@@ -151,7 +151,7 @@ def _finish(df: DataFrame, targets: list[_Target]) -> None:
         for interval, i in numbers.items():
             if interval[0] == c:
                 which = F.when(_between(interval), i).otherwise(which)
-        series[c] = F.struct(which.alias("t"), as_number(c).alias("x"))
+        series[c] = F.struct(which.alias("t"), _number(c).alias("x"))
     rows = _stacked(df, {f"c{i}": s for i, s in enumerate(series.values())}).where("item.t IS NOT NULL")
     counted = rows.groupBy(F.col("item.t").alias("t"), F.col("item.x").alias("x")).count()
     order = Window.partitionBy("t").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
@@ -183,7 +183,7 @@ def exact_quantiles(
     *,
     small_rows: int = SMALL_ROWS,
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of several columns, NULLs ignored.
+    """Linearly interpolated quantiles of several columns, NULL and NaN ignored.
 
     Only the quantiles themselves reach the driver.  Columns with at most
     ``small_rows`` values are answered by one ``percentile`` aggregate.
@@ -192,14 +192,16 @@ def exact_quantiles(
     probabilities = [float(p) for p in probabilities]
     if not columns:
         return {}
-    sizes = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    n = {c: sizes[i] for i, c in enumerate(columns)}
+    parts = (("n", lambda x: x), ("a", lambda x: F.when(x == -INFINITY, 1)), ("b", lambda x: F.when(x == INFINITY, 1)))
+    sizes = df.agg(*[F.count(f(_number(c))).alias(f"{p}{i}") for i, c in enumerate(columns) for p, f in parts]).first()
+    n = {c: sizes[f"n{i}"] for i, c in enumerate(columns)}
+    ends = {c: (sizes[f"a{i}"], sizes[f"b{i}"]) for i, c in enumerate(columns)}
     result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
 
     short = [c for c in columns if 0 < n[c] <= small_rows]
     if short:
         probs = F.array(*[F.lit(p) for p in probabilities])
-        row = df.agg(*[F.percentile(as_number(c), probs).alias(f"q{i}") for i, c in enumerate(short)]).first()
+        row = df.agg(*[F.percentile(_number(c), probs).alias(f"q{i}") for i, c in enumerate(short)]).first()
         result.update({c: list(row[i]) for i, c in enumerate(short)})
 
     long = [c for c in columns if n[c] > small_rows]
@@ -208,7 +210,11 @@ def exact_quantiles(
         for p in probabilities:
             at = (n[c] - 1) * p
             for rank in {math.floor(at), math.ceil(at)}:
-                targets.setdefault((c, rank), _Target(c, rank, n[c]))
+                lowest, highest = ends[c]
+                target = _Target(c, rank, n[c] - lowest - highest, lowest)
+                if rank < lowest or rank >= n[c] - highest:
+                    target.value = -INFINITY if rank < lowest else INFINITY
+                targets.setdefault((c, rank), target)
     while True:
         wide = [t for t in targets.values() if t.value is None and t.inside > small_rows]
         if not wide:
@@ -237,7 +243,7 @@ def quantile_table(
     columns, probabilities = list(columns), [float(p) for p in probabilities]
     if method == "approx":
         probs = F.array(*[F.lit(p) for p in probabilities])
-        row = df.agg(*[F.percentile_approx(as_number(c), probs, 10_000).alias(f"q{i}") for i, c in enumerate(columns)]).first()
+        row = df.agg(*[F.percentile_approx(_number(c), probs, 10_000).alias(f"q{i}") for i, c in enumerate(columns)]).first()
         values = {c: row[i] if row[i] is not None else [None] * len(probabilities) for i, c in enumerate(columns)}
     elif method == "exact":
         values = exact_quantiles(df, columns, probabilities)

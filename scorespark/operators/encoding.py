@@ -53,10 +53,8 @@ class LabelEncoder:
         counted = dictionary.groupBy("variable").agg(F.count(F.lit(1)).alias("n")).collect()
         return cls(dictionary, {r["variable"]: r["n"] for r in counted})
 
-    def labels(self, column: str, limit: int = 10_000) -> list[str]:
-        """Values of one column in code order, for a dictionary known to be short."""
-        if self.sizes[column] > limit:
-            raise ValueError(f"{column} has {self.sizes[column]} values, more than {limit}")
+    def labels(self, column: str) -> list[str]:
+        """All values of one column in code order, for steps that hold their dictionary themselves."""
         rows = self.dictionary.where(F.col("variable") == column).orderBy("code").select("value").collect()
         return [r["value"] for r in rows]
 

@@ -32,6 +32,7 @@ from scorespark.operators.scaling import Scaler
 from scorespark.schema import MODEL_FEATURES
 from scorespark.session import materialize
 
+LEAST_BINS = 32
 UNLIMITED_DEPTH = 30  # the deepest tree the learners allow
 LOGISTIC, FOREST, TREE, BOOSTING = "logistic_regression", "random_forest", "decision_tree", "gradient_boosting"
 
@@ -85,10 +86,19 @@ def _preparation(scaler: Scaler, categories: list[str]) -> PipelineModel:
     return PipelineModel(steps)
 
 
-def classifier(name: str, *, rows: float = 1.0, seed: int = split.SEED, **settings):
+def most_values(points: DataFrame, features: Sequence[str] = MODEL_FEATURES) -> int:
+    """The largest number of different values that a feature has in ``points``."""
+    row = points.agg(*[F.count_distinct(c) for c in features]).first()
+    return max(row)
+
+
+def classifier(name: str, *, rows: float = 1.0, bins: int = LEAST_BINS, seed: int = split.SEED, **settings):
     """A learner with the given settings.
 
-    ``rows`` is the total weight: the logistic penalty is stated per row.
+    ``rows`` is the total weight: the logistic penalty is stated per row.  With
+    ``bins`` at least the values of a feature, trees may split between any two of
+    them.  The forest draws no bootstrap, as a point that stands for thousands
+    of rows would be in or out as a whole; its trees differ by their features.
     """
     columns = {"featuresCol": "features", "labelCol": "label", "weightCol": "weight"}
     depth = settings.get("max_depth")
@@ -98,14 +108,17 @@ def classifier(name: str, *, rows: float = 1.0, seed: int = split.SEED, **settin
             regParam=1.0 / (settings.get("C", 1.0) * rows), elasticNetParam=0.0, standardization=False, **columns
         )
     if name == FOREST:
-        return RandomForestClassifier(numTrees=settings.get("n_estimators", 100), maxDepth=depth, seed=seed, **columns)
+        return RandomForestClassifier(
+            numTrees=settings.get("n_estimators", 100), maxDepth=depth, maxBins=bins, bootstrap=False, seed=seed, **columns
+        )
     if name == TREE:
-        return DecisionTreeClassifier(maxDepth=depth, seed=seed, **columns)
+        return DecisionTreeClassifier(maxDepth=depth, maxBins=bins, seed=seed, **columns)
     if name == BOOSTING:
         return GBTClassifier(
             maxIter=settings.get("n_estimators", 100),
             stepSize=settings.get("learning_rate", 0.1),
             maxDepth=settings.get("max_depth", 3),
+            maxBins=bins,
             seed=seed,
             **columns,
         )
@@ -138,6 +151,7 @@ class TrainingSet:
     test: DataFrame
     preparation: Preparation
     rows: float
+    bins: int
 
     @classmethod
     def build(cls, labelled: DataFrame, *, by: Sequence[str], test_share: float = split.TEST_SHARE, folds: int = 5, seed: int = split.SEED, balance: bool = True) -> TrainingSet:
@@ -157,7 +171,7 @@ class TrainingSet:
         ready = preparation.model.transform(points.withColumn("weight", weight))
         ready = materialize(ready.select(*MODEL_FEATURES, "label", "part", "fold", "n", "weight", "features"), "vectors")
         train = ready.where(F.col("part") == "train")
-        return cls(train, ready.where(F.col("part") == "test"), preparation, train.agg(F.sum("weight")).first()[0])
+        return cls(train, ready.where(F.col("part") == "test"), preparation, train.agg(F.sum("weight")).first()[0], max(LEAST_BINS, most_values(train)))
 
 
 @dataclass(frozen=True)
@@ -172,7 +186,7 @@ def train_models(data: TrainingSet, settings: Mapping[str, Mapping] | None = Non
     """One model per learner with given settings (defaults if none)."""
     settings = settings or {name: {} for name in GRID}
     return [
-        Trained(name, classifier(name, rows=data.rows, **chosen).fit(data.train), dict(chosen))
+        Trained(name, classifier(name, rows=data.rows, bins=data.bins, **chosen).fit(data.train), dict(chosen))
         for name, chosen in settings.items()
     ]
 
@@ -192,7 +206,7 @@ def grid_search(
     train = data.train.persist()
     try:
         for name, values in grid.items():
-            learner = classifier(name, rows=data.rows)
+            learner = classifier(name, rows=data.rows, bins=data.bins)
             maps = _param_maps(name, learner, values, data.rows)
             search = CrossValidator(
                 estimator=learner,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -17,15 +18,31 @@ from scorespark.session import materialize
 NOT_BINNED = ("transaction_id", "batch_id", "account_id", "subscription_id", "customer_id", "txn_ts")
 
 
-@dataclass(frozen=True)
+@dataclass
 class Evidence:
-    """Labelled rows and the binned tables over them; counts are per transaction."""
+    """Labelled rows and the binned tables over them; counts are per transaction.
+
+    The numeric and the categorical table are each made when first asked for.
+    """
 
     rows: DataFrame
-    bins: QuantileBins
-    numeric: DataFrame
-    categorical: DataFrame
     numeric_names: list[str]
+    ignore: Sequence[str] = NOT_BINNED
+    n_bins: int = 5
+    good: str = "Good"
+    bad: str = "Bad"
+
+    @cached_property
+    def bins(self) -> QuantileBins:
+        return QuantileBins.fit(self.rows, self.numeric_names, n_bins=self.n_bins)
+
+    @cached_property
+    def numeric(self) -> DataFrame:
+        return woe.woe_table(woe.numeric_counts(self.rows, self.bins, good=self.good, bad=self.bad))
+
+    @cached_property
+    def categorical(self) -> DataFrame:
+        return woe.woe_table(woe.categorical_counts(self.rows, ignore=self.ignore, good=self.good, bad=self.bad))
 
 
 def labelled_rows(transactions: DataFrame, *, as_of=None, columns: Sequence[str] | None = None) -> DataFrame:
@@ -41,8 +58,5 @@ def labelled_rows(transactions: DataFrame, *, as_of=None, columns: Sequence[str]
 def build_evidence(
     labelled: DataFrame, *, ignore: Sequence[str] = NOT_BINNED, n_bins: int = 5, good: str = "Good", bad: str = "Bad"
 ) -> Evidence:
-    names = numeric_columns(labelled, ignore)
-    bins = QuantileBins.fit(labelled, names, n_bins=n_bins)
-    numeric = woe.woe_table(woe.numeric_counts(labelled, bins, good=good, bad=bad))
-    categorical = woe.woe_table(woe.categorical_counts(labelled, ignore=ignore, good=good, bad=bad))
-    return Evidence(labelled, bins, numeric, categorical, names)
+    """Nothing runs until a table is asked for."""
+    return Evidence(labelled, numeric_columns(labelled, ignore), ignore, n_bins, good, bad)
