@@ -2,122 +2,33 @@
 
 Equal rows are merged first.  A row that occurs more than ``k`` times is its own
 nearest neighbour k times over, so its synthetic rows equal it and need no
-search.  For the others, points are sorted along one direction and compared with
-those next to them in that order.  A distance is never smaller than the
-difference along the direction; once the k-th nearest found so far is closer
-than the ends of the compared stretch, nothing outside can be nearer and the
-answer is exact.  Points for which this does not hold yet go into another round
-with a longer stretch.
+search.  The others are searched in boxes of bounded size (``neighbours``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import sqrt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorespark.functions.columns import hash_fraction
 from scorespark.functions.ordering import running_totals
+from scorespark.operators.neighbours import nearest_points
 from scorespark.operators.split import SEED
 from scorespark.session import materialize
 
 NEIGHBOURS = 5
-POINTS_PER_RANGE = 50_000
-FIRST_REACH = 32
 ROWS_PER_CHUNK = 100_000
 
 
-def _direction(features: Sequence[str]) -> Column:
-    """A fixed unit direction that weighs every feature differently."""
-    raw = [sqrt(2.0 + i) for i in range(len(features))]
-    length = sqrt(sum(r * r for r in raw))
-    return sum((F.col(f) * F.lit(r / length) for f, r in zip(features, raw)), F.lit(0.0))
-
-
-def _one_round(points: DataFrame, wanted: DataFrame, features: Sequence[str], k: int, reach: int, ranges: int) -> DataFrame:
-    """Nearest others of ``wanted`` points within ``reach`` places along the direction.
-
-    Adds ``near`` (array of (distance, features, n), enough of them to fill k)
-    and ``exact``.
-    """
-    ranged = materialize(
-        points.join(wanted.select(*features, F.lit(True).alias("_ask")), list(features), "left")
-        .withColumn("_at", _direction(features))
-        .repartitionByRange(ranges, "_at", *features)
-        .withColumn("_range", F.spark_partition_id()),
-        "ranges",
-    )
-    last = ranged.agg(F.max("_range")).first()[0] or 0
-    # A range sees the one before and the one after it.
-    spread = ranged.withColumn("_home", F.explode(F.sequence(F.greatest(F.col("_range") - 1, F.lit(0)), F.least(F.col("_range") + 1, F.lit(last)))))
-    order = Window.partitionBy("_home").orderBy("_at", *features)
-    stretch = order.rowsBetween(-reach, reach)
-    whole = Window.partitionBy("_home")
-    item = F.struct("_at", F.struct(*features).alias("point"), "n")
-    seen = (
-        spread.withColumns(
-            {
-                "_place": F.row_number().over(order),
-                "_rows": F.count(F.lit(1)).over(whole),
-                "_seen": F.collect_list(item).over(stretch),
-            }
-        )
-        .where(F.col("_ask") & (F.col("_home") == F.col("_range")))
-    )
-    others = F.filter("_seen", lambda s: ~(s["point"] == F.struct(*features)))
-    squared = lambda s: sum(((s["point"][f] - F.col(f)) * (s["point"][f] - F.col(f)) for f in features), F.lit(0.0))
-    near = F.array_sort(F.transform(others, lambda s: F.struct(F.sqrt(squared(s)).alias("d"), s["point"].alias("point"), s["n"].alias("n"))))
-    missing = F.lit(k + 1) - F.col("n")  # own copies come first
-    # Keep entries until their counts reach what is missing.
-    kept = F.aggregate(
-        F.col("_near"),
-        F.struct(F.lit(0).cast("bigint").alias("have"), F.slice(F.col("_near"), 1, 0).alias("rows")),
-        lambda acc, x: F.when(
-            acc["have"] < missing,
-            F.struct(
-                (acc["have"] + x["n"]).alias("have"),
-                F.concat(acc["rows"], F.array(x)).alias("rows"),
-            ),
-        ).otherwise(acc),
-    )
-    infinity = F.lit(float("inf"))
-    left = F.when((F.col("_place") <= reach) & (F.col("_range") <= 1), infinity).otherwise(
-        F.col("_at") - F.element_at("_seen", 1)["_at"]
-    )
-    right = F.when((F.col("_rows") - F.col("_place") < reach) & (F.col("_range") >= last - 1), infinity).otherwise(
-        F.element_at("_seen", -1)["_at"] - F.col("_at")
-    )
-    found = (
-        seen.withColumn("_near", near)
-        .withColumn("_kept", kept)
-        .withColumn("near", F.col("_kept.rows"))
-    )
-    farthest = F.when(F.col("_kept.have") >= missing, F.element_at("near", -1)["d"]).otherwise(infinity)
-    return found.withColumn("exact", farthest <= F.least(left, right)).select(*points.columns, "near", "exact")
-
-
-def nearest_neighbours(
-    points: DataFrame, features: Sequence[str], *, k: int = NEIGHBOURS, reach: int = FIRST_REACH, points_per_range: int = POINTS_PER_RANGE
-) -> DataFrame:
-    """For distinct ``points`` with ``n`` copies each, the nearest others of those with n <= k.
-
-    Only points that still need a search take part as questions; rounds end
-    when every answer is proven.
-    """
-    total = points.count()
-    wanted = points.where(F.col("n") <= k)
-    done = None
-    while True:
-        ranges = max(1, -(-total // points_per_range))
-        answer = materialize(_one_round(points, wanted, features, k, reach, ranges), "near")
-        proven = answer.where("exact").drop("exact")
-        done = proven if done is None else done.unionByName(proven)
-        if answer.where(~F.col("exact")).isEmpty():
-            return done
-        wanted = answer.where(~F.col("exact"))
-        reach, points_per_range = reach * 8, points_per_range * 8
+def nearest_neighbours(points: DataFrame, features: Sequence[str], *, k: int = NEIGHBOURS, **search) -> DataFrame:
+    """For distinct ``points`` with ``n`` copies each, the nearest others of those with n <= k, as array ``near`` of (d, point, n)."""
+    found = nearest_points(points, features, k=k, **search)
+    near = found.groupBy(*features).agg(F.array_sort(F.collect_list(F.struct("d", "point", "n"))).alias("near"))  # k entries at most
+    none = F.array().cast(near.schema["near"].dataType)
+    wanted = points.where(F.col("n") <= k).join(near, list(features), "left")
+    return wanted.withColumn("near", F.coalesce("near", none))
 
 
 def synthetic_rows(

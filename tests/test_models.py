@@ -103,15 +103,15 @@ def brute_neighbours(points, counts, i, k):
     return out
 
 
-@pytest.mark.parametrize("reach,per_range", [(32, 50_000), (2, 25), (1, 10)])
-def test_neighbours_equal_brute_force(spark, reach, per_range):
+@pytest.mark.parametrize("leaf", [1_000, 40, 4])
+def test_neighbours_equal_brute_force(spark, leaf):
     rng = np.random.default_rng(3)
     raw = np.vstack([rng.normal(0, 1, (120, 3)), rng.integers(0, 3, (200, 3)), rng.normal(8, 0.1, (30, 3))]).round(3)
     points, counts = np.unique(raw, axis=0, return_counts=True)
     df = spark.createDataFrame(
         [(*map(float, p), int(n)) for p, n in zip(points, counts)], "a double, b double, c double, n bigint"
     )
-    got = smote.nearest_neighbours(df, ["a", "b", "c"], k=5, reach=reach, points_per_range=per_range).collect()
+    got = smote.nearest_neighbours(df, ["a", "b", "c"], k=5, leaf=leaf).collect()
     at = {tuple(p): i for i, p in enumerate(points)}
     assert {(r["a"], r["b"], r["c"]) for r in got} == {tuple(p) for p, n in zip(points, counts) if n <= 5}
     for r in got:
@@ -123,6 +123,12 @@ def test_neighbours_equal_brute_force(spark, reach, per_range):
         assert np.allclose(found, brute_neighbours(points, counts, i, 5))
 
 
+def test_neighbours_of_one_point_and_of_none(spark):
+    one = spark.createDataFrame([(1.0, 2.0, 1)], "a double, b double, n bigint")
+    assert [r["near"] for r in smote.nearest_neighbours(one, ["a", "b"]).collect()] == [[]]
+    assert smote.nearest_neighbours(one.limit(0), ["a", "b"]).count() == 0
+
+
 def test_synthetic_rows_balance_the_classes(spark):
     rng = np.random.default_rng(5)
     rows = [(float(x), float(y), 0) for x, y in rng.integers(0, 4, (150, 2))]
