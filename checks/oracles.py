@@ -151,8 +151,9 @@ def histogram(source: str, series: dict[str, str], bins: int) -> str:
       round(CASE WHEN bin = {bins - 1} THEN high ELSE low + (bin + 1) * w END, 6) AS upper, count(*) AS n
       FROM (SELECT variable, low, high, w, CAST(least(floor((x - low) / w), {bins - 1}) AS INT) AS bin
         FROM (SELECT variable, x, low, high, (high - low) / {bins}::DOUBLE AS w FROM
-          (SELECT *, min(x) OVER (PARTITION BY variable) AS low, max(x) OVER (PARTITION BY variable) AS high
-           FROM ({parts}) WHERE x IS NOT NULL)))
+          (SELECT variable, x, CASE WHEN a = b THEN a - 0.5 ELSE a END AS low, CASE WHEN a = b THEN b + 0.5 ELSE b END AS high FROM
+            (SELECT *, min(x) OVER (PARTITION BY variable) AS a, max(x) OVER (PARTITION BY variable) AS b
+             FROM ({parts}) WHERE x IS NOT NULL))))
       GROUP BY variable, bin, low, high, w"""
 
 
@@ -427,12 +428,13 @@ ORACLES = {
     ),
     "batch_scoring": over("labelled", SCORED_REQUESTS),
     "stream_scoring": over("labelled", SCORED_REQUESTS),
-    "histogram_linear": over("transactions", histogram("transactions", {c: f"{c}::DOUBLE" for c in ("value", "amount", "pricing_strategy")}, 15)),
+    "histogram_linear": over("transactions", histogram("transactions", {c: f"{c}::DOUBLE" for c in ("country_code", "amount", "value", "pricing_strategy", "fraud_result")}, 15)),
     "histogram_log": over("event_transactions", histogram("event_transactions", {"value": log10_of("value")}, 30)),
     "histogram_credit_debit": over("event_transactions", histogram("event_transactions", {"credit": log10_of("(-amount)"), "debit": log10_of("amount")}, 30)),
     "boxplot_stats": over(
         "event_transactions",
-        f""", long AS ({stacked(('value', 'amount'), 'event_transactions')}),
+        f""", signed AS (SELECT value, CASE WHEN amount < 0 THEN -amount END AS credit, CASE WHEN amount > 0 THEN amount END AS debit FROM event_transactions),
+        long AS ({stacked(('value', 'credit', 'debit'), 'signed')}),
         q AS (SELECT variable, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS q2, quantile_cont(x, 0.75) AS q3 FROM long GROUP BY variable),
         f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
         SELECT variable, round(any_value(q1), 6) AS q25, round(any_value(q2), 6) AS q50, round(any_value(q3), 6) AS q75,
@@ -471,8 +473,12 @@ ORACLES = {
     ),
     "interaction_terms": over(
         "transactions",
-        """SELECT transaction_id, product_category, CASE WHEN product_category = 'PROMO' THEN amount ELSE 0.0::DOUBLE END AS amount_x_PROMO,
-        CASE WHEN product_category = 'SMALL' THEN amount ELSE 0.0::DOUBLE END AS amount_x_SMALL FROM transactions""",
+        "SELECT transaction_id, product_category, "
+        + ", ".join(
+            f"CASE WHEN product_category = '{c}' THEN amount ELSE 0.0::DOUBLE END AS amount_x_{c}"
+            for c in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+        )
+        + " FROM transactions",
     ),
     "accounts_per_customer": over(
         "transactions", "SELECT customer_id, count(DISTINCT account_id) AS n_accounts, count(*) AS n_transactions FROM transactions GROUP BY 1"

@@ -594,7 +594,7 @@ def high_risk_cluster(spark, sf):
 
 @query
 def histogram_linear(spark, sf):
-    return rounded(distributions.histogram(tx(spark, sf), columns=["value", "amount", "pricing_strategy"]))
+    return rounded(distributions.histogram(tx(spark, sf), columns=NUMBERS))
 
 
 @query
@@ -609,7 +609,9 @@ def histogram_credit_debit(spark, sf):
 
 @query
 def boxplot_stats(spark, sf):
-    return rounded(outliers.boxplot_stats(ev(spark, sf), "value", "amount"))
+    amount = F.col("amount")
+    rows = ev(spark, sf).withColumns({"credit": F.when(amount < 0, -amount), "debit": F.when(amount > 0, amount)})
+    return rounded(outliers.boxplot_stats(rows, "value", "credit", "debit"))
 
 
 @query
@@ -649,8 +651,10 @@ def group_rare(spark, sf):
 
 @query
 def interaction_terms(spark, sf):
-    rows = features.category_interactions(tx(spark, sf), ["PROMO", "SMALL"])
-    return rows.select("transaction_id", "product_category", "amount_x_PROMO", "amount_x_SMALL")
+    rows = tx(spark, sf)
+    categories = sorted(r[0] for r in rows.select("product_category").distinct().collect())
+    crossed = features.category_interactions(rows, categories)
+    return crossed.select("transaction_id", "product_category", *[f"amount_x_{c}" for c in categories])
 
 
 @query

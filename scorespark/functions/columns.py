@@ -37,9 +37,17 @@ def as_number(column: Column | str) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("double")
 
 
-def parse_id(column: Column | str) -> Column:
-    """Number behind the first underscore of ``<name>_<n>``; NULL if there is none."""
-    return F.get(F.split(column, "_"), F.lit(1)).try_cast("bigint")
+def parse_id(column: Column | str, *, strict: bool = False) -> Column:
+    """Number behind the first underscore of ``<name>_<n>``.
+
+    Text without one becomes NULL, or fails the job with ``strict``.
+    """
+    text = F.col(column) if isinstance(column, str) else column
+    number = F.get(F.split(text, "_"), F.lit(1)).try_cast("bigint")
+    if not strict:
+        return number
+    problem = F.raise_error(F.concat(F.lit("not an id: "), text)).cast("bigint")
+    return F.when(text.isNotNull() & number.isNull(), problem).otherwise(number)
 
 
 def parse_timestamp(column: Column | str, *, strict: bool = True) -> Column:

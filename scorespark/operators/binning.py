@@ -42,13 +42,19 @@ class QuantileBins:
     def table(self, spark: SparkSession) -> DataFrame:
         """(variable, bin_id, lower, upper, label), a few rows per column."""
         rows = [
-            (c, i + 1, lo, hi, f"({lo:.3f}, {hi:.3f}]")
+            (c, i + 1, lo, hi, f"({lo:.{places}f}, {hi:.{places}f}]")
             for c, edges in self.edges.items()
+            for places in (_places(edges),)
             for i, (lo, hi) in enumerate(zip(edges, edges[1:]))
         ]
         return spark.createDataFrame(rows, "variable string, bin_id int, lower double, upper double, label string")
 
 
+def _places(edges: Sequence[float], least: int = 3, most: int = 17) -> int:
+    """Decimals, three or more, with which all edges read differently."""
+    return next((p for p in range(least, most) if len({f"{e:.{p}f}" for e in edges}) == len(edges)), most)
+
+
 def _not_obviously_many(df: DataFrame, columns: Sequence[str], most: int) -> list[str]:
     """Columns whose values hit at most ``most`` places of a hashed bitmap.
 

@@ -23,9 +23,9 @@ def add_date_parts(df: DataFrame, *, ts: str = "txn_ts") -> DataFrame:
     )
 
 
-def parse_id_columns(df: DataFrame, *, columns: Sequence[str] = ID_COLUMNS) -> DataFrame:
-    """Replace ids of the form ``<name>_<n>`` by their number."""
-    return df.withColumns({c: parse_id(c) for c in existing(df, columns)})
+def parse_id_columns(df: DataFrame, *, columns: Sequence[str] = ID_COLUMNS, strict: bool = False) -> DataFrame:
+    """Replace ids of the form ``<name>_<n>`` by their number; any other text by NULL, or not at all with ``strict``."""
+    return df.withColumns({c: parse_id(c, strict=strict) for c in existing(df, columns)})
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:

@@ -6,8 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from scorespark.functions.columns import parse_id
 from scorespark.functions.quantiles import exact_quantiles
 from scorespark.operators import models
+from scorespark.operators.binning import QuantileBins
 from scorespark.operators.distributions import density_curve
 from scorespark.operators.encoding import LabelEncoder
 
@@ -58,3 +60,16 @@ def test_density_of_a_long_tail_equals_the_sum_over_rows(spark):
     expected = [np.exp(-0.5 * ((r.x - x) / h) ** 2).sum() / (len(x) * h * math.sqrt(2 * math.pi)) for r in out]
     assert len(out) == 50 and np.allclose([r.density for r in out], expected, rtol=1e-5, atol=1e-16)
     assert density_curve(spark.createDataFrame([(1.0,), (1.0,)], "x double"), "x").count() == 0
+
+
+def test_narrow_bins_read_differently(spark):
+    bins = QuantileBins({"x": [0.00001, 0.00002, 0.5], "y": [1.0, 2.0]})
+    labels = [r["label"] for r in bins.table(spark).orderBy("variable", "bin_id").collect()]
+    assert labels == ["(0.00001, 0.00002]", "(0.00002, 0.50000]", "(1.000, 2.000]"]
+
+
+def test_strict_ids_fail_on_other_text(spark):
+    df = spark.createDataFrame([("a_5",), (None,)], "c string")
+    assert [r[0] for r in df.select(parse_id("c", strict=True)).collect()] == [5, None]
+    with pytest.raises(Exception, match="not an id"):
+        df.union(spark.createDataFrame([("b",)], "c string")).select(parse_id("c", strict=True)).collect()
