@@ -16,7 +16,7 @@ from scorespark.llm.blocks import slices, split_words, text_array
 from scorespark.session import materialize
 
 HELD_OUT = (7, 2)  # remainder 2 of 7
-COMMON_WORDS = 1 << 17
+COMMON_WORDS = 1 << 18
 COMMON_BYTES = 64
 MODEL_WORDS = 4096
 ROUNDS = 3
