@@ -118,7 +118,7 @@ def _nearest(asking: np.ndarray, points: np.ndarray, k: int) -> Iterator[tuple[i
 
 
 def nearest_points(points: DataFrame, features: Sequence[str], *, k: int, leaf: int = LEAF) -> DataFrame:
-    """(features, d, point, n) of the k nearest others of distinct ``points`` with n <= k copies; runs jobs while it is built.
+    """(features, _found) for the k nearest others of distinct ``points`` with n <= k copies, as (d, point, n); runs jobs while it is built.
 
     A task holds the points of one box and a share of those that ask there.
     """
@@ -133,44 +133,50 @@ def nearest_points(points: DataFrame, features: Sequence[str], *, k: int, leaf:
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield frame.assign(leaf=shared.value.leaf_of(frame[features].to_numpy(float)))
+            yield frame.assign(_leaf=shared.value.leaf_of(frame[features].to_numpy(float)))
 
-    placed = materialize(points.select(*features, "n").mapInPandas(place, f"{numbers}, n long, leaf long"), "placed")
-    rows = f"{numbers}, leaf long, home boolean, d double, point struct<{numbers.replace('` ', '`: ')}>, n long"
+    placed = materialize(points.select(*features, "n").mapInPandas(place, f"{numbers}, n long, _leaf long"), "placed")
+    found = [f"_near_{f}" for f in features]
+    rows = f"{numbers}, _leaf long, _home boolean, _d double, {', '.join(f'`{f}` double' for f in found)}, _n long"
 
-    columns = [*features, "leaf", "home", "d", "point", "n"]
+    def table(asking: np.ndarray, leaf_: np.ndarray | int, home: bool, d: np.ndarray, near: np.ndarray, n: np.ndarray | int) -> pd.DataFrame:
+        columns = dict(zip(features, asking.T, strict=True)) | {"_leaf": leaf_, "_home": home, "_d": d} | dict(zip(found, near.T, strict=True))
+        return pd.DataFrame(columns | {"_n": n})
 
-    def answers(asking: np.ndarray, frame: pd.DataFrame, leaf_: int) -> tuple[list[tuple], np.ndarray]:
+    def answers(asking: np.ndarray, frame: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
         """Rows of the nearest of ``frame``, and the distance that bounds the k-th nearest of all."""
         near, copies = frame[features].to_numpy(float), frame["n"].to_numpy()
-        out, reach = [], np.full(len(asking), np.inf)
+        reach, of, places, far = np.full(len(asking), np.inf), [], [], []
         for i, distances, at in _nearest(asking, near, k):
             if len(distances) == k:
                 reach[i] = distances[-1]
-            for d, p in zip(distances.tolist(), at.tolist(), strict=True):
-                out.append((*asking[i], leaf_, True, d, dict(zip(features, near[p].tolist(), strict=True)), int(copies[p])))
-        return out, reach
+            of.append(np.full(len(at), i))
+            places.append(at)
+            far.append(distances)
+        i, p = (np.concatenate([np.zeros(0, np.int64), *parts]) for parts in (of, places))
+        return table(asking[i], frame["_leaf"].iloc[0], True, np.concatenate([np.zeros(0), *far]), near[p], copies[p]), reach
 
     def own_box(frame: pd.DataFrame) -> pd.DataFrame:
         """Answers of the own box, and a row without an answer for every other box to ask."""
         asking = frame.loc[frame["n"] <= k, features].to_numpy(float)
-        here = int(frame["leaf"].iloc[0])
-        out, reach = answers(asking, frame, here)
-        for i, other in zip(*shared.value.within(asking, reach), strict=True):
-            if other != here:
-                out.append((*asking[i], int(other), False, float(reach[i]), None, 0))
-        return pd.DataFrame(out, columns=columns)
+        out, reach = answers(asking, frame)
+        i, other = shared.value.within(asking, reach)
+        i, other = i[other != frame["_leaf"].iloc[0]], other[other != frame["_leaf"].iloc[0]]
+        return pd.concat([out, table(asking[i], other, False, reach[i], np.full((len(i), len(features)), np.nan), 0)])
 
     def other_box(asking: pd.DataFrame, frame: pd.DataFrame) -> pd.DataFrame:
         if not len(asking) or not len(frame):
-            return pd.DataFrame([], columns=columns)
-        return pd.DataFrame(answers(asking[features].to_numpy(float), frame, int(frame["leaf"].iloc[0]))[0], columns=columns)
+            none = np.zeros((0, len(features)))
+            return table(none, none[:, 0], True, none[:, 0], none, none[:, 0])
+        return answers(asking[features].to_numpy(float), frame)[0]
 
-    first = materialize(placed.groupBy("leaf").applyInPandas(own_box, rows), "own-box")
+    first = materialize(placed.groupBy("_leaf").applyInPandas(own_box, rows), "own-box")
     salt = F.pmod(F.xxhash64(*features), F.lit(SALT))
-    asked = first.where("NOT home").withColumn("salt", salt)
-    copies = placed.withColumn("salt", F.explode(F.array(*[F.lit(s).cast("long") for s in range(SALT)])))
-    second = asked.groupBy("leaf", "salt").cogroup(copies.groupBy("leaf", "salt")).applyInPandas(other_box, rows)
-    every = first.where("home").unionByName(second)
-    order = Window.partitionBy(*features).orderBy("d", "point")
-    return every.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).select(*features, "d", "point", "n")
+    asked = first.where("NOT _home").withColumn("_salt", salt)
+    copies = placed.withColumn("_salt", F.explode(F.array(*[F.lit(s).cast("long") for s in range(SALT)])))
+    second = asked.groupBy("_leaf", "_salt").cogroup(copies.groupBy("_leaf", "_salt")).applyInPandas(other_box, rows)
+    point = F.struct(*[F.col(near).alias(f) for f, near in zip(features, found, strict=True)])
+    every = first.where("_home").unionByName(second)
+    every = every.select(*features, F.struct(F.col("_d").alias("d"), point.alias("point"), F.col("_n").alias("n")).alias("_found"))
+    order = Window.partitionBy(*features).orderBy("_found")
+    return every.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= k).drop("_place")

@@ -25,7 +25,7 @@ ROWS_PER_CHUNK = 100_000
 def nearest_neighbours(points: DataFrame, features: Sequence[str], *, k: int = NEIGHBOURS, **search) -> DataFrame:
     """For distinct ``points`` with ``n`` copies each, the nearest others of those with n <= k, as array ``near`` of (d, point, n)."""
     found = nearest_points(points, features, k=k, **search)
-    near = found.groupBy(*features).agg(F.array_sort(F.collect_list(F.struct("d", "point", "n"))).alias("near"))  # k entries at most
+    near = found.groupBy(*features).agg(F.array_sort(F.collect_list("_found")).alias("near"))  # k entries at most
     none = F.array().cast(near.schema["near"].dataType)
     wanted = points.where(F.col("n") <= k).join(near, list(features), "left")
     return wanted.withColumn("near", F.coalesce("near", none))

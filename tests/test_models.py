@@ -123,6 +123,12 @@ def test_neighbours_equal_brute_force(spark, leaf):
         assert np.allclose(found, brute_neighbours(points, counts, i, 5))
 
 
+def test_neighbours_with_clashing_names(spark):
+    df = spark.createDataFrame([(float(i), float(i * i), 1) for i in range(30)], "d double, leaf double, n bigint")
+    got = {r["d"]: [x["point"]["d"] for x in r["near"]] for r in smote.nearest_neighbours(df, ["d", "leaf"], k=2, leaf=5).collect()}
+    assert got[0.0] == [1.0, 2.0] and got[10.0] == [9.0, 11.0] and len(got) == 30
+
+
 def test_neighbours_of_one_point_and_of_none(spark):
     one = spark.createDataFrame([(1.0, 2.0, 1)], "a double, b double, n bigint")
     assert [r["near"] for r in smote.nearest_neighbours(one, ["a", "b"]).collect()] == [[]]
