@@ -34,29 +34,33 @@ def pack(ids: np.ndarray) -> np.ndarray:
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64)
-    need = _widths(ids)
-    best = np.full(n, ESCAPE, np.int64)
-    taken = np.ones(n, np.int64)
-    left = n - np.arange(n)
+    need = _widths(ids).astype(np.int8)
+    best = np.full(n, ESCAPE, np.int8)
+    taken = np.ones(n, np.int16)
+    # Places beyond the end need no bits: the last word may have empty places.
+    wide = np.zeros(n + ZEROS + 1, np.int32)
+    left = np.minimum(n - np.arange(n), ZEROS).astype(np.int16)
     for s in range(len(WIDTHS) - 1, -1, -1):
-        # A shorter end of the ids may leave places empty.
-        wide = np.concatenate([[0], np.cumsum(need > s)])
-        reach = np.minimum(COUNTS[s], left)
-        fits = wide[np.arange(n) + reach] == wide[:-1]
-        better = fits & (reach >= taken)
-        best = np.where(better, s + 1, best)
-        taken = np.where(better, reach, taken)
-    zero = ids == 0
-    run = np.concatenate([[0], np.cumsum(~zero)])
-    reach = np.minimum(ZEROS, left)
-    all_zero = (run[np.arange(n) + reach] == run[:-1]) & (reach > taken)
-    best, taken = np.where(all_zero, 0, best), np.where(all_zero, reach, taken)
+        np.cumsum(need > s, out=wide[1 : n + 1])
+        wide[n + 1 :] = wide[n]
+        fits = wide[COUNTS[s] : COUNTS[s] + n] == wide[:n]
+        if not fits.any():
+            break  # a narrower width asks more of the same ids
+        np.copyto(best, s + 1, where=fits)
+        np.copyto(taken, COUNTS[s], where=fits)
+    np.minimum(taken, left, out=taken)
+    if not ids.all():
+        np.cumsum(ids != 0, out=wide[1 : n + 1])
+        wide[n + 1 :] = wide[n]
+        zeros = np.minimum(left, ZEROS)
+        only = (wide[ZEROS : ZEROS + n] == wide[:n]) & (zeros > taken)
+        best[only], taken[only] = 0, zeros[only]
     starts, at, step = [], 0, taken.tolist()
     while at < n:
         starts.append(at)
         at += step[at]
     starts = np.array(starts)
-    selector, count = best[starts], taken[starts]
+    selector, count = best[starts].astype(np.int64), taken[starts]
     place = np.arange(len(starts)) + np.concatenate([[0], np.cumsum(selector == ESCAPE)[:-1]])
     words = np.zeros(len(starts) + int((selector == ESCAPE).sum()), np.uint64)
     words[place] = selector.astype(np.uint64) << np.uint64(60)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,69 +21,117 @@ from scorespark.llm.simple8b import pack, unpack
 from scorespark.session import materialize
 
 END_ID = 2
-BLOCK_IDS = 1 << 14
+BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 25
 MAGIC = b"S8BTOKS1"
 FOOTER = struct.Struct("<QQQQQQ8s")  # blocks, documents, null names, ids, ids of a block, start of the index
-KEPT_WORDS = 300_000
+KEPT_PIECES = 300_000
+WORD_END = "</w>"  # fixed value: how the tokenizer marks ids that end a word
 # ASCII marks; the apostrophe is not among them, because the tokenizer has rules on letters after it.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # fixed values
 
 
-class WordEncoder:
-    """Ids of words from a tokenizer that never joins characters across white space.
-
-    The ids of a text are then those of its words in turn, so a word is encoded
-    once and remembered.  A word of letters between marks is encoded in parts,
-    which more words share; any other word, one with a special token's
-    brackets above all, is encoded as a whole.
-    """
+class PieceTable:
+    """Ids of pieces of text, encoded once each; emptied when it holds ``KEPT_PIECES``."""
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
-
-    def _parts(self, word: str) -> tuple[str, ...]:
-        body = word.strip(MARKS)
-        if body == word or not body.isalpha() or "<|" in word:
-            return (word.lower() if word.isascii() and word.isalpha() else word,)
-        at = word.index(body)
-        body = body.lower() if body.isascii() else body
-        return tuple(p for p in (word[:at], body, word[at + len(word.strip(MARKS)) :]) if p)
-
-    def ids(self, words: list[str]) -> list[np.ndarray]:
-        parts = [self._parts(w) for w in words]
-        known = self.known
-        new = list(dict.fromkeys(p for ps in parts for p in ps if p not in known))
-        codes = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        fresh = {p: np.array(e.ids, np.uint32) for p, e in zip(new, codes, strict=True)}
-        out = []
-        for ps in parts:
-            found = [known[p] if p in known else fresh[p] for p in ps]
-            out.append(found[0] if len(found) == 1 else np.concatenate(found))
-        if len(known) < KEPT_WORDS:
-            known.update(fresh)
-        return out
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, k in self.tokenizer.get_vocab().items():
+            self.ends[k] = token.endswith(WORD_END)
+        self._clear()
+
+    def _clear(self) -> None:
+        self.places: dict[str, int] = {}
+        self.ids = np.zeros(0, np.uint32)
+        self.starts = np.zeros(1, np.int64)
+
+    def find(self, pieces: list[str]) -> np.ndarray:
+        """Places of ``pieces`` in the table: place k has ids[starts[k]:starts[k + 1]]."""
+        if len(self.places) > KEPT_PIECES:
+            self._clear()
+        new = [p for p in pieces if p not in self.places]
+        if new:
+            flat, sizes = self._encode(new)
+            self.places.update(zip(new, range(len(self.places), len(self.places) + len(new)), strict=True))
+            self.ids = np.concatenate([self.ids, flat])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        return np.fromiter(map(self.places.__getitem__, pieces), np.int64, len(pieces))
+
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes) of pieces; those of letters alone go through the tokenizer as one text.
+
+        Letters in a row are one word to it, whose last id ends a word, so the
+        ids of the text fall apart again at such ids.
+        """
+        plain = [p.isalpha() for p in pieces]
+        letters = [p for p, is_plain in zip(pieces, plain, strict=True) if is_plain]
+        joined = np.array(self.tokenizer.encode_batch_fast([" ".join(letters)], add_special_tokens=False)[0].ids, np.uint32)
+        stops = np.flatnonzero(self.ends[joined]) + 1
+        if len(stops) != len(letters):  # a letter that this tokenizer parts words at
+            plain, stops, joined = [False] * len(pieces), stops[:0], joined[:0]
+        codes = [e.ids for e in self.tokenizer.encode_batch_fast([p for p, x in zip(pieces, plain, strict=True) if not x], add_special_tokens=False)]
+        order, at = np.array(plain, bool), np.empty(len(pieces), np.int64)
+        sizes = np.empty(len(pieces), np.int64)
+        sizes[order], sizes[~order] = np.diff(stops, prepend=0), [len(c) for c in codes]
+        at[order], at[~order] = stops - sizes[order], len(joined) + np.cumsum(sizes[~order]) - sizes[~order]
+        both = np.concatenate([joined, np.fromiter(chain.from_iterable(codes), np.uint32)])
+        return both[_runs(at, sizes)], sizes
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def _table(path: str) -> PieceTable:
+    return PieceTable(path)
+
+
+def word_pieces(words: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """(pieces, codes): distinct pieces, and for every word the codes of three of them, in order.
+
+    The tokenizer drops white space, never joins characters across it, and parts
+    letters from marks, so a word of letters between marks has the ids of its
+    marks, its letters and its marks.  It writes letters in lower case itself.
+    Any other word, one with a special token's brackets above all, is its middle piece whole.
+    """
+    body = pc.utf8_trim(words, characters=MARKS)
+    plain = pc.and_(pc.utf8_is_alpha(body), pc.invert(pc.match_substring(words, "<|")))
+    empty = pa.scalar("")
+    left = pc.binary_length(words).to_numpy() - pc.binary_length(pc.utf8_ltrim(words, characters=MARKS)).to_numpy()
+    right = pc.binary_length(words).to_numpy() - pc.binary_length(pc.utf8_rtrim(words, characters=MARKS)).to_numpy()
+    some = plain.to_numpy(zero_copy_only=False)
+    before, after = [""] * len(words), [""] * len(words)
+    for marks, length, side in ((before, left, 0), (after, right, 1)):
+        for k in np.flatnonzero(some & (length > 0)).tolist():
+            word = words[k].as_py()
+            marks[k] = word[-length[k] :] if side else word[: length[k]]
+    middle = pc.if_else(plain, pc.ascii_lower(pc.if_else(plain, body, empty)), words)
+    coded = pa.concat_arrays([pa.array(before, pa.string()), middle, pa.array(after, pa.string())]).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy().reshape(3, -1)
+
+
+def _runs(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """begins[0], begins[0] + 1, ... for sizes[0] places, then from begins[1], and so on."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 def token_ids(texts: pa.StringArray, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids, starts): the ids of all texts, ``end_id`` after each, and where each text begins."""
     words = split_words(texts)
-    coded = _encoder(path).ids(words.dictionary.to_pylist())
-    sizes = np.array([len(c) for c in coded], np.int64)
-    flat = np.concatenate([np.zeros(0, np.uint32), *coded])
-    offsets = np.concatenate([[0], np.cumsum(sizes)])
-    count = sizes[words.codes] if len(sizes) else np.zeros(0, np.int64)
-    ends = np.cumsum(count)
-    starts = np.concatenate([[0], ends])[words.starts]
-    source = np.repeat(offsets[words.codes] - (ends - count), count) + np.arange(len(count) and ends[-1])
+    pieces, codes = word_pieces(words.dictionary)
+    table = _table(path)
+    places = table.find(pieces.to_pylist())
+    begins, sizes = table.starts[places], np.diff(table.starts)[places]
+    # First the ids of the distinct words, then those of all words.
+    parts = codes.T.ravel()
+    flat = table.ids[_runs(begins[parts], sizes[parts])]
+    word_sizes = sizes[codes].sum(0)
+    word_begins = np.cumsum(word_sizes) - word_sizes
+    count = word_sizes[words.codes]
+    source = _runs(word_begins[words.codes], count)
+    starts = np.concatenate([[0], np.cumsum(count)])[words.starts]
     rows = np.repeat(np.arange(len(texts)), np.diff(starts))
     out = np.full(len(source) + len(texts), end_id, np.uint32)
     out[np.arange(len(source)) + rows] = flat[source]
