@@ -17,7 +17,7 @@ from scorespark.session import materialize
 
 BUCKETS = 1 << 14
 DIMENSIONS = 48
-NONZEROS = 4
+NONZEROS = 2
 REACH = 2
 TRAIN_ROWS = 20_000
 HIDDEN = 24
