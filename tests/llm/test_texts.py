@@ -195,6 +195,17 @@ def test_gru_learns_what_follows_what():
     assert gru.text_logs(trainer.net, texts[:50], 0).sum() > 0.5 * before
 
 
+def test_gru_learns_from_every_window():
+    text = np.tile([1, 2], 8)  # one window
+    trainer = gru.Trainer(gru.Network.initial(np.array([4.0, 12, 12])))
+    before = trainer.net.flat()
+    trainer.train([text], 0)
+    assert trainer.words == len(text) and not np.array_equal(before, trainer.net.flat())
+    skipping = gru.Trainer(gru.Network.initial(np.array([4.0, 12, 12])), stride=2)
+    skipping.train([np.tile(text, 3)], 0)
+    assert skipping.words == len(text)
+
+
 def test_language_model_counts_equal_brute_force(documents, odd):
     rng = random.Random(3)
     rows = [*odd, *((10 + k, " ".join(rng.choice(["The", "a", "Ä", f"w{rng.randint(0, 300)}"]) for _ in range(rng.randint(1, 80)))) for k in range(80))]
