@@ -18,8 +18,9 @@ from scorespark.session import materialize
 HELD_OUT = (7, 2)  # remainder 2 of 7
 COMMON_WORDS = 1 << 18
 COMMON_BYTES = 64
-MODEL_WORDS = 4096
 ROUNDS = 3
+TASK_WORDS = 1 << 23
+LEAST_TASKS = 6
 BLOCK_IDS = 1 << 21
 COUNT_BYTES = 16 << 20
 PART = 1 << 13
@@ -49,7 +50,7 @@ def token_counts(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """Common words by falling count, and the numbers that the network gives to the most frequent of them, to the rest and to the end."""
+    """Common words by falling count, and the numbers that the network gives to them, to the rest and to the end."""
 
     words: pa.StringArray
     counts: np.ndarray
@@ -63,7 +64,7 @@ class Vocabulary:
     rest_distinct: int
 
 
-def vocabulary(counts: DataFrame, *, common: int = COMMON_WORDS, model_words: int = MODEL_WORDS) -> Vocabulary:
+def vocabulary(counts: DataFrame, *, common: int = COMMON_WORDS) -> Vocabulary:
     """What is sent to every task: at most ``common`` words of at most ``COMMON_BYTES`` bytes.
 
     The least count of a common word is the lowest step of a logarithmic
@@ -81,16 +82,15 @@ def vocabulary(counts: DataFrame, *, common: int = COMMON_WORDS, model_words: in
     rows = short.where(step >= least).collect() if least is not None else []
     rows.sort(key=lambda r: (-r["c"], r["word"]))
     c = np.array([r["c"] for r in rows], np.int64)
-    n_model = min(len(rows), model_words - 2)
+    n_model = len(rows)
     ends = sums["ends"] or 0
-    rest_total = sums["n"] - ends - int(c[:n_model].sum())
+    rest_total = sums["n"] - ends - int(c.sum())
     rest_distinct = max(0, sums["v"] - (1 if ends else 0) - n_model)
-    all_counts = np.concatenate([c[:n_model], [rest_total, ends]])
+    all_counts = np.concatenate([c, [rest_total, ends]])
     order = np.argsort(-all_counts, kind="stable")
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    numbers = np.full(len(rows), place[-2])
-    numbers[:n_model] = place[:n_model]
+    numbers = place[:n_model]
     words = pa.array([r["word"] for r in rows], pa.string())
     return Vocabulary(words, c, numbers, int(place[-2]), int(place[-1]), all_counts[order].astype(float), sums["n"], sums["v"], rest_total, rest_distinct)
 
@@ -114,7 +114,7 @@ def coded_documents(docs: DataFrame, vocab: Vocabulary, *, id_col: str, text_col
             sums = np.bincount(rows, logs[at], n)
             rest_sums = np.bincount(rows, np.where(inside[at], 0.0, logs[at]), n)
             rest_n = np.bincount(rows, ~inside[at], n)
-            ids = np.insert(numbers[at].astype("<u2"), words.starts[1:], v.end)
+            ids = np.insert(numbers[at].astype("<u4"), words.starts[1:], v.end)
             cuts = words.starts + np.arange(n + 1)
             key, times = np.unique(rows[~known] * len(words.dictionary) + words.codes[~known], return_counts=True)
             offsets = pa.array(np.searchsorted(key, np.arange(n + 1) * max(1, len(words.dictionary))).astype(np.int32))
@@ -144,20 +144,45 @@ def coded_documents(docs: DataFrame, vocab: Vocabulary, *, id_col: str, text_col
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    for block in slices(batches, "ids", 2 * BLOCK_IDS):
-        yield block, [np.frombuffer(b, "<u2").astype(np.int64) for b in block.column("ids").to_pylist()]
+    for block in slices(batches, "ids", 4 * BLOCK_IDS):
+        yield block, [np.frombuffer(b, "<u4").astype(np.int64) for b in block.column("ids").to_pylist()]
+
+
+def _pieces(trainer: gru.Trainer) -> Iterator[pa.RecordBatch]:
+    """(piece, weights, n): rows of the trained arrays, zero where nothing trained them, and by how many words each was trained."""
+    rows = []
+    for k, (array, times) in enumerate(zip(trainer.net.arrays(), trainer.times, strict=True)):
+        flat = array.reshape(len(array), -1)
+        step = max(1, PART // flat.shape[1])
+        for at in range(0, len(flat), step):
+            n = times[at : at + step]
+            if n.any():
+                rows.append((k << 40 | at, np.where(n[:, None] > 0, flat[at : at + step], 0).astype("<f4").tobytes(), n.astype("<i8").tobytes()))
+            if len(rows) == 64:
+                yield _piece_batch(rows)
+                rows = []
+    if rows:
+        yield _piece_batch(rows)
+
+
+def _piece_batch(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
+    piece, weights, n = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(piece, pa.int64()), pa.array(weights, pa.binary()), pa.array(n, pa.binary())], ["piece", "weights", "n"])
 
 
 def trained(coded: DataFrame, vocab: Vocabulary, *, rounds: int = ROUNDS) -> gru.Network:
-    """A network that has seen all of ``coded`` once.
+    """A network that has learned from all of ``coded`` once.
 
     In each round every task starts from the same network and trains it on its
-    part of one share of the texts; the results are averaged by the number of
-    words behind them.  Weights are added up in pieces by many tasks, and only
-    one sum per piece reaches the driver.
+    part of one share of the texts.  Each row of the results is averaged by the
+    number of words that trained it, so a task without a word leaves the word's
+    row to those that have it.  A task trains about ``TASK_WORDS`` words, as it
+    sends a network at most.  Rows are added up in pieces by many tasks, and
+    only one mean per piece reaches the driver.
     """
     net = gru.Network.initial(vocab.model_counts)
     end, spark = vocab.end, coded.sparkSession
+    tasks = max(LEAST_TASKS, -(-vocab.total // (rounds * TASK_WORDS)))
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast(net)
 
@@ -166,28 +191,30 @@ def trained(coded: DataFrame, vocab: Vocabulary, *, rounds: int = ROUNDS) -> gru
             trainer = gru.Trainer(start.like(start.flat()))
             for _, texts in _texts(batches):
                 trainer.train(texts, end)
-            if trainer.words:
-                weights = trainer.net.flat().astype(np.float64) * trainer.words
-                pieces = [weights[k : k + PART].tobytes() for k in range(0, len(weights), PART)]
-                columns = [pa.array(range(len(pieces)), pa.int64()), pa.array(pieces, pa.binary()), pa.array([trainer.words] * len(pieces))]
-                yield pa.RecordBatch.from_arrays(columns, ["piece", "weights", "n"])
+            yield from _pieces(trainer)
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total: dict[int, list] = {}
             for batch in batches:
                 for piece, weights, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    n = np.frombuffer(n, "<i8")
+                    sums = np.frombuffer(weights, "<f4").reshape(len(n), -1) * n[:, None].astype(np.float64)
                     held = total.setdefault(piece, [0.0, 0])
-                    held[0], held[1] = held[0] + np.frombuffer(weights), held[1] + n
-            columns = [pa.array(total, pa.int64()), pa.array([w.tobytes() for w, _ in total.values()], pa.binary()), pa.array([n for _, n in total.values()], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["piece", "weights", "n"])
+                    held[0], held[1] = held[0] + sums, held[1] + n
+            means = [(piece, (w / np.maximum(n, 1)[:, None]).astype("<f4").tobytes(), n.tobytes()) for piece, (w, n) in total.items()]
+            for k in range(0, len(means), 64):
+                yield _piece_batch(means[k : k + 64])
 
-        schema = "piece long, weights binary, n long"
-        share = coded.where(F.pmod(F.xxhash64("row"), F.lit(rounds)) == turn).select("ids")
+        schema = "piece long, weights binary, n binary"
+        share = coded.where(F.pmod(F.xxhash64("row"), F.lit(rounds)) == turn).select("ids").coalesce(tasks)
         # Sorted, so that sums of floats come out the same in every run.
         moved = share.mapInArrow(train, schema).repartition("piece").sortWithinPartitions("piece", "n", "weights")
-        pieces = sorted(moved.mapInArrow(add, schema).collect())
-        if pieces:
-            net = net.like(np.concatenate([np.frombuffer(bytes(w)) / n for _, w, n in pieces]))
+        net = net.like(net.flat())
+        for piece, means, n in moved.mapInArrow(add, schema).collect():
+            k, at = piece >> 40, piece & ((1 << 40) - 1)
+            seen = np.frombuffer(bytes(n), "<i8") > 0
+            rows = net.arrays()[k].reshape(len(net.arrays()[k]), -1)[at : at + len(seen)]
+            rows[seen] = np.frombuffer(bytes(means), "<f4").reshape(len(seen), -1)[seen]
     return net
 
 
@@ -195,9 +222,9 @@ def language_model_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every text; runs jobs while it is built.
 
     Counts come from all texts that are not held out.  base_score is the sum over
-    the tokens of log10((c + 1) / (N + V + 1)).  score is the network's: words
-    outside its vocabulary share one number, and which of them it is follows
-    from their counts, so every text has a probability.  The network's state
+    the tokens of log10((c + 1) / (N + V + 1)).  score is the network's, whose
+    vocabulary is all common words: the others share one number, and which of
+    them it is follows from their counts, so every text has a probability.  The network's state
     runs through the whole of a text.
 
     Sums over common words are taken where the text is read; only rare words are

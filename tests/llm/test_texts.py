@@ -14,7 +14,7 @@ import pytest
 from scorespark.llm import gru
 from scorespark.llm.blocks import slices, split_words
 from scorespark.llm.html_text import page_text, visible_text
-from scorespark.llm.language_model import language_model_scores
+from scorespark.llm.language_model import language_model_scores, token_counts, vocabulary
 from scorespark.llm.licences import file_licences
 from scorespark.llm.repetition import covered, repetition_rules, suffix_matches
 
@@ -206,6 +206,18 @@ def test_gru_learns_from_every_window():
     assert skipping.words == len(text)
 
 
+def test_every_common_word_has_a_number_of_its_own(documents):
+    text = " ".join(f"w{k}" for k in range(6000))
+    vocab = vocabulary(token_counts(documents([(1, text), (2, text)])))
+    assert sorted([*vocab.numbers, vocab.rest, vocab.end]) == list(range(6002))
+    assert vocab.rest_total == 0 and len(vocab.model_counts) == 6002
+    net = gru.Network.initial(vocab.model_counts)
+    assert net.size == 78 and net.places.shape[0] == 77
+    trainer = gru.Trainer(net)
+    trainer.train([np.array([5, 5, 9, 0])], 0)
+    assert [trainer.times[0][w] for w in (0, 5, 9, 7)] == [1, 2, 1, 0] and trainer.times[4].sum() == 4
+
+
 def test_language_model_counts_equal_brute_force(documents, odd):
     rng = random.Random(3)
     rows = [*odd, *((10 + k, " ".join(rng.choice(["The", "a", "Ä", f"w{rng.randint(0, 300)}"]) for _ in range(rng.randint(1, 80)))) for k in range(80))]
