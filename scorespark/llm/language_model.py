@@ -20,7 +20,7 @@ COMMON_WORDS = 1 << 18
 COMMON_BYTES = 64
 ROUNDS = 3
 TASK_WORDS = 1 << 23
-LEAST_TASKS = 6
+LEAST_TASKS = 2
 BLOCK_IDS = 1 << 21
 COUNT_BYTES = 16 << 20
 PART = 1 << 13
@@ -79,10 +79,10 @@ def vocabulary(counts: DataFrame, *, common: int = COMMON_WORDS) -> Vocabulary:
         if chosen + row["count"] > common:
             break
         chosen, least = chosen + row["count"], row["step"]
-    rows = short.where(step >= least).collect() if least is not None else []
-    rows.sort(key=lambda r: (-r["c"], r["word"]))
-    c = np.array([r["c"] for r in rows], np.int64)
-    n_model = len(rows)
+    rows = short.where(step >= least if least is not None else F.lit(False)).select("word", "c").toArrow().combine_chunks()
+    rows = rows.sort_by([("c", "descending"), ("word", "ascending")])
+    c = rows["c"].to_numpy().astype(np.int64)
+    n_model = len(c)
     ends = sums["ends"] or 0
     rest_total = sums["n"] - ends - int(c.sum())
     rest_distinct = max(0, sums["v"] - (1 if ends else 0) - n_model)
@@ -91,7 +91,7 @@ def vocabulary(counts: DataFrame, *, common: int = COMMON_WORDS) -> Vocabulary:
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     numbers = place[:n_model]
-    words = pa.array([r["word"] for r in rows], pa.string())
+    words = pa.concat_arrays([pa.array([], pa.string()), *(x.cast(pa.string()) for x in rows["word"].chunks)])
     return Vocabulary(words, c, numbers, int(place[-2]), int(place[-1]), all_counts[order].astype(float), sums["n"], sums["v"], rest_total, rest_distinct)
 
 
@@ -209,12 +209,12 @@ def trained(coded: DataFrame, vocab: Vocabulary, *, rounds: int = ROUNDS) -> gru
         share = coded.where(F.pmod(F.xxhash64("row"), F.lit(rounds)) == turn).select("ids").coalesce(tasks)
         # Sorted, so that sums of floats come out the same in every run.
         moved = share.mapInArrow(train, schema).repartition("piece").sortWithinPartitions("piece", "n", "weights")
-        net = net.like(net.flat())
         for piece, means, n in moved.mapInArrow(add, schema).collect():
             k, at = piece >> 40, piece & ((1 << 40) - 1)
             seen = np.frombuffer(bytes(n), "<i8") > 0
             rows = net.arrays()[k].reshape(len(net.arrays()[k]), -1)[at : at + len(seen)]
             rows[seen] = np.frombuffer(bytes(means), "<f4").reshape(len(seen), -1)[seen]
+        shared.destroy()
     return net
 
 
