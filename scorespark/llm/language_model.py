@@ -64,24 +64,30 @@ class Vocabulary:
     rest_distinct: int
 
 
-def vocabulary(counts: DataFrame, *, common: int = COMMON_WORDS) -> Vocabulary:
-    """What is sent to every task: at most ``common`` words of at most ``COMMON_BYTES`` bytes.
+def frequent_words(counts: DataFrame, limit: int) -> tuple[pa.StringArray, np.ndarray]:
+    """The at most ``limit`` most frequent of (word, c), by falling count.
 
-    The least count of a common word is the lowest step of a logarithmic
+    The least count of a frequent word is the lowest step of a logarithmic
     histogram above which few enough words lie, so all words of that count or
     none are among them.
     """
     step = F.floor(F.log2("c") * 64)
-    short = counts.where((F.octet_length("word") <= COMMON_BYTES) & (F.col("word") != END))
-    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("c").alias("v"), F.max(F.when(F.col("word") == END, F.col("c"))).alias("ends")).first()
     chosen, least = 0, None
-    for row in short.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():  # a few thousand steps
-        if chosen + row["count"] > common:
+    for row in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():  # a few thousand steps
+        if chosen + row["count"] > limit:
             break
         chosen, least = chosen + row["count"], row["step"]
-    rows = short.where(step >= least if least is not None else F.lit(False)).select("word", "c").toArrow().combine_chunks()
+    rows = counts.where(step >= least if least is not None else F.lit(False)).select("word", "c").toArrow().combine_chunks()
     rows = rows.sort_by([("c", "descending"), ("word", "ascending")])
-    c = rows["c"].to_numpy().astype(np.int64)
+    words = pa.concat_arrays([pa.array([], pa.string()), *(x.cast(pa.string()) for x in rows["word"].chunks)])
+    return words, rows["c"].to_numpy().astype(np.int64)
+
+
+def vocabulary(counts: DataFrame, *, common: int = COMMON_WORDS) -> Vocabulary:
+    """What is sent to every task: at most ``common`` words of at most ``COMMON_BYTES`` bytes."""
+    short = counts.where((F.octet_length("word") <= COMMON_BYTES) & (F.col("word") != END))
+    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("c").alias("v"), F.max(F.when(F.col("word") == END, F.col("c"))).alias("ends")).first()
+    words, c = frequent_words(short, common)
     n_model = len(c)
     ends = sums["ends"] or 0
     rest_total = sums["n"] - ends - int(c.sum())
@@ -91,7 +97,6 @@ def vocabulary(counts: DataFrame, *, common: int = COMMON_WORDS) -> Vocabulary:
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     numbers = place[:n_model]
-    words = pa.concat_arrays([pa.array([], pa.string()), *(x.cast(pa.string()) for x in rows["word"].chunks)])
     return Vocabulary(words, c, numbers, int(place[-2]), int(place[-1]), all_counts[order].astype(float), sums["n"], sums["v"], rest_total, rest_distinct)
 
 

@@ -12,12 +12,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorespark.llm.blocks import slices, split_words, text_array
+from scorespark.llm.blocks import Words, slices, split_words, text_array
+from scorespark.llm.language_model import frequent_words
 from scorespark.session import materialize
 
+OWN_WORDS = 1 << 16
+OWN_BYTES = 64
 BUCKETS = 1 << 14
-DIMENSIONS = 48
-NONZEROS = 2
+DIMENSIONS = 64
+NONZEROS = 4
 REACH = 2
 TRAIN_ROWS = 20_000
 HIDDEN = 24
@@ -36,25 +39,50 @@ CHUNK = 1 << 16
 
 @dataclass
 class Tokens:
-    """Per word: buckets of its stem, of its shape, and of its novelty in the text; text i has [starts[i], starts[i + 1])."""
+    """Per word: numbers of its stem, of its shape, and of its novelty in the text; text i has [starts[i], starts[i + 1])."""
 
     kinds: tuple[np.ndarray, np.ndarray, np.ndarray]
     starts: np.ndarray
 
 
-def _buckets(values: pa.StringArray, prefix: bytes) -> np.ndarray:
+def _numbers(values: pa.StringArray, prefix: str, own: pa.StringArray) -> np.ndarray:
+    """A frequent value has a number of its own, the others one of BUCKETS by their hash."""
+    values = pc.binary_join_element_wise(prefix, values, "")
+    found = pc.fill_null(pc.index_in(values, own), -1).to_numpy().astype(np.int64)
+    rare = np.flatnonzero(found < 0)
     digest = xxhash.xxh64_intdigest
-    return np.array([3 + digest(prefix + v.encode()) % (BUCKETS - 3) for v in values.to_pylist()], np.int64)
+    found[rare] = [len(own) + digest(v.encode()) % BUCKETS for v in values.take(pa.array(rare)).to_pylist()]
+    return 3 + found
 
 
-def tokens(texts: pa.StringArray) -> Tokens:
-    """The stem is a word in lower case without marks at its ends; the shape writes A, a and 0 for runs of letters and digits."""
-    words = split_words(texts)
+def _forms(words: Words) -> tuple[pa.DictionaryArray, pa.DictionaryArray]:
+    """Of every different word: the stem, in lower case without marks at its ends; the shape, with A, a and 0 for runs of letters and digits."""
     stems = pc.utf8_trim(pc.ascii_lower(words.dictionary), characters=MARKS).dictionary_encode()
     shapes = words.dictionary
     for pattern, sign in ((r"\p{Lu}+", "A"), (r"\p{Ll}+", "a"), (r"\p{N}+", "0")):
         shapes = pc.replace_substring_regex(shapes, pattern, sign)
-    shapes = shapes.dictionary_encode()
+    return stems, shapes.dictionary_encode()
+
+
+def own_words(docs: DataFrame, *, text_col: str = "text", limit: int = OWN_WORDS) -> pa.StringArray:
+    """The most frequent stems and shapes of ``docs``, with a letter before them that tells which; added up by task before the shuffle."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in slices(batches, text_col):
+            words = split_words(text_array(block.column(text_col)))
+            times = np.bincount(words.codes, minlength=len(words.dictionary))
+            for prefix, forms in zip("ws", _forms(words), strict=True):
+                c = np.bincount(forms.indices.to_numpy(), times, len(forms.dictionary)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(prefix, forms.dictionary, ""), pa.array(c)], ["word", "c"])
+
+    counts = docs.select(text_col).mapInArrow(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    counts = materialize(counts.where((F.col("c") > 1) & (F.octet_length("word") <= OWN_BYTES)), "forms")
+    return frequent_words(counts, limit)[0]
+
+
+def tokens(texts: pa.StringArray, own: pa.StringArray) -> Tokens:
+    words = split_words(texts)
+    stems, shapes = _forms(words)
     stem_codes = stems.indices.to_numpy()[words.codes].astype(np.int64)
     shape_codes = shapes.indices.to_numpy()[words.codes]
     rows = words.rows
@@ -62,62 +90,80 @@ def tokens(texts: pa.StringArray) -> Tokens:
     key = rows * (len(stems.dictionary) + 1) + stem_codes
     novelty[np.unique(key, return_index=True)[1]] = NEW
     novelty[1:][key[1:] == key[:-1]] = AGAIN
-    return Tokens((_buckets(stems.dictionary, b"w")[stem_codes], _buckets(shapes.dictionary, b"s")[shape_codes], novelty), words.starts)
+    return Tokens((_numbers(stems.dictionary, "w", own)[stem_codes], _numbers(shapes.dictionary, "s", own)[shape_codes], novelty), words.starts)
 
 
-def index_vectors() -> tuple[np.ndarray, np.ndarray]:
-    """(dimensions, signs) of the few nonzero entries of each bucket's fixed random vector."""
+def index_vectors(n: int) -> np.ndarray:
+    """Fixed random vectors of NONZEROS ones and minus ones each, at different dimensions."""
     rng = np.random.default_rng(SEED)
-    return rng.integers(0, DIMENSIONS, (BUCKETS, NONZEROS)), rng.choice([-1.0, 1.0], (BUCKETS, NONZEROS))
+    out = np.zeros((n, DIMENSIONS), np.float32)
+    at = rng.random((n, DIMENSIONS), np.float32).argpartition(NONZEROS, axis=1)[:, :NONZEROS]
+    np.put_along_axis(out, at, rng.choice(np.array([-1, 1], np.float32), at.shape), 1)
+    return out
 
 
-def context_sums(found: Tokens, dimensions: np.ndarray, signs: np.ndarray) -> np.ndarray:
-    """For every bucket, the sum of the random vectors of what stands up to REACH words from it."""
-    total = np.zeros(BUCKETS * DIMENSIONS)
+def add_contexts(total: np.ndarray, found: Tokens, index: np.ndarray) -> None:
+    """Adds to the row of every number the index vectors of what stands up to REACH words from it."""
     rows = np.repeat(np.arange(len(found.starts) - 1), np.diff(found.starts))
-    for gap in range(1, REACH + 1):
-        left = np.flatnonzero(rows[gap:] == rows[:-gap])
-        for a in found.kinds:
-            for b in found.kinds:
-                for target, context in ((a[left], b[left + gap]), (a[left + gap], b[left])):
-                    for k in range(NONZEROS):
-                        at = target * DIMENSIONS + dimensions[context, k]
-                        total += np.bincount(at, signs[context, k], len(total))
-    return total.reshape(BUCKETS, DIMENSIONS)
+    for a in range(0, len(rows), CHUNK):
+        b = min(len(rows), a + CHUNK)
+        low, high = max(0, a - REACH), min(len(rows), b + REACH)
+        own = sum(index[kind[low:high]] for kind in found.kinds)
+        near = np.zeros_like(own)
+        for gap in range(1, REACH + 1):
+            same = (rows[low + gap : high] == rows[low : high - gap])[:, None]
+            near[gap:] += own[:-gap] * same
+            near[:-gap] += own[gap:] * same
+        near = near[a - low : b - low]
+        for kind in found.kinds:
+            order = np.argsort(kind[a:b], kind="stable")
+            sorted_kind = kind[a:b][order]
+            heads = np.flatnonzero(np.diff(sorted_kind, prepend=-1))
+            # Whole numbers far below 2 ** 24, so 32-bit floats are exact.
+            total[sorted_kind[heads]] += np.add.reduceat(near[order], heads, 0)
 
 
-def word_vectors(docs: DataFrame, *, text_col: str = "text") -> np.ndarray:
-    """Unit vectors of all buckets, from every text; one job.
+def word_vectors(docs: DataFrame, own: pa.StringArray, *, text_col: str = "text") -> np.ndarray:
+    """Unit vectors of all numbers, from every text; one job.
 
     A task adds up the contexts of all its texts before anything is shuffled, so
-    it sends at most one row per bucket.  Sums are whole numbers, equal in any order.
+    it sends at most one row per number, in integers of the least width that
+    holds them.  Sums are whole numbers, equal in any order.
     """
+    n = 3 + len(own) + BUCKETS
+    shared = docs.sparkSession.sparkContext.broadcast(own)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dimensions, signs = index_vectors()
-        total = np.zeros((BUCKETS, DIMENSIONS))
+        index, total = index_vectors(n), np.zeros((n, DIMENSIONS))
         for block in slices(batches, text_col):
-            total += context_sums(tokens(text_array(block.column(text_col))), dimensions, signs)
-        yield rows_of(total)
+            add_contexts(total, tokens(text_array(block.column(text_col)), shared.value), index)
+        yield from rows_of(np.arange(n), total)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((BUCKETS, DIMENSIONS))
+        held: dict[int, np.ndarray] = {}
         for batch in batches:
-            at = batch.column("bucket").to_numpy()
-            sums = np.frombuffer(b"".join(batch.column("sums").to_pylist()), "<i8").reshape(-1, DIMENSIONS)
-            np.add.at(total, at, sums)
-        yield rows_of(total)
-
-    def rows_of(total: np.ndarray) -> pa.RecordBatch:
-        at = np.flatnonzero(total.any(1))
-        sums = [total[k].astype("<i8").tobytes() for k in at]
-        return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(sums, pa.binary())], ["bucket", "sums"])
+            for bucket, sums in zip(batch.column("bucket").to_pylist(), batch.column("sums").to_pylist(), strict=True):
+                held[bucket] = held.get(bucket, 0.0) + unpacked(sums)
+        if held:
+            yield from rows_of(np.array(list(held)), np.stack(list(held.values())))
+
+    def unpacked(sums: bytes) -> np.ndarray:
+        return np.frombuffer(sums, f"<i{len(sums) // DIMENSIONS}").astype(np.float64)
+
+    def rows_of(numbers: np.ndarray, total: np.ndarray) -> Iterator[pa.RecordBatch]:
+        high = np.abs(total).max(1)
+        at = np.flatnonzero(high)
+        for k in range(0, len(at), 4096):
+            part = at[k : k + 4096]
+            width = np.select([high[part] < 1 << 7, high[part] < 1 << 15, high[part] < 1 << 31], [1, 2, 4], 8)
+            sums = [total[i].astype(f"<i{w}").tobytes() for i, w in zip(part, width, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(numbers[part], pa.int64()), pa.array(sums, pa.binary())], ["bucket", "sums"])
 
     schema = "bucket long, sums binary"
     summed = docs.select(text_col).mapInArrow(count, schema).repartition("bucket").mapInArrow(add, schema)
-    vectors = np.zeros((BUCKETS, DIMENSIONS))
-    for bucket, sums in summed.collect():  # at most BUCKETS rows
-        vectors[bucket] = np.frombuffer(sums, "<i8")
+    vectors = np.zeros((n, DIMENSIONS))
+    for bucket, sums in summed.collect():  # at most n rows
+        vectors[bucket] = unpacked(bytes(sums))
     return (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
 
@@ -138,13 +184,14 @@ def pooled(found: Tokens, vectors: np.ndarray) -> np.ndarray:
     return out
 
 
-def document_features(docs: DataFrame, vectors: np.ndarray, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def document_features(docs: DataFrame, own: pa.StringArray, vectors: np.ndarray, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, features): the pooled vector of every text as bytes of 16-bit floats."""
-    shared = docs.sparkSession.sparkContext.broadcast(vectors)
+    shared = docs.sparkSession.sparkContext.broadcast((own, vectors))
 
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in slices(batches, text_col, POOL_BYTES):
-            features = pooled(tokens(text_array(block.column(text_col))), shared.value)
+            known, given = shared.value
+            features = pooled(tokens(text_array(block.column(text_col)), known), given)
             rows = pa.array([r.tobytes() for r in features.astype("<f2")], pa.binary())
             yield pa.RecordBatch.from_arrays([block.column(id_col), rows], [id_col, "features"])
 
@@ -240,8 +287,9 @@ def quality_scores(
     out and has no label; null labels teach nothing; repeated rows are scored one by one, and
     each labelled pair of a repeated id counts; other columns are not read; no rows give none.
     """
-    vectors = word_vectors(docs, text_col=text_col)
-    features = materialize(document_features(docs, vectors, id_col=id_col, text_col=text_col), "features")
+    own = own_words(docs, text_col=text_col)
+    vectors = word_vectors(docs, own, text_col=text_col)
+    features = materialize(document_features(docs, own, vectors, id_col=id_col, text_col=text_col), "features")
     marked = labels.select(F.col(id_col), F.col(label_col).cast("double").alias("label")).where(F.col("label").isNotNull())
     marked = marked.where(~is_held_out(F.col(id_col)))
     # The same test of the id on both sides, before they are joined: about the share that makes train_rows.

@@ -14,7 +14,7 @@ from pyarrow import fs
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from scorespark.llm import simhash, warc_zip
+from scorespark.llm import quality, simhash, warc_zip
 from scorespark.llm.components import component_roots
 from scorespark.llm.decontamination import MASKS, benchmark_overlaps, substitutions, without_benchmark
 from scorespark.llm.mixing import mix_table, mixed_documents
@@ -223,6 +223,28 @@ def test_network_learns_and_handles_one_class():
     assert Network.fit(np.zeros((0, 1)), np.zeros(0)).scores(np.zeros((1, 1)))[0] == 0.5
 
 
+def test_index_vectors_and_contexts(documents):
+    index = quality.index_vectors(20_000)
+    assert (np.abs(index).sum(1) == quality.NONZEROS).all() and quality.NONZEROS >= 4 and len(np.unique(index, axis=0)) > 19_900
+    texts = ["a b c a. dd", "", "b b x1 C"]
+    docs = documents([(k, t) for k, t in enumerate(texts)])
+    own = quality.own_words(docs)
+    assert {"wa", "wb", "wc", "sa"} <= set(own.to_pylist()) and "wdd" not in own.to_pylist()
+    found = quality.tokens(pa.array(texts), own)
+    stem = found.kinds[0]
+    assert len({stem[0], stem[1], stem[2]}) == 3 and stem[0] == stem[3] < 3 + len(own) <= stem[4]
+    n = 3 + len(own) + quality.BUCKETS
+    total, plain, rows = np.zeros((n, quality.DIMENSIONS)), np.zeros((n, quality.DIMENSIONS)), [0] * 5 + [2] * 4
+    quality.add_contexts(total, found, index := quality.index_vectors(n))
+    for i, j in itertools.permutations(range(9), 2):
+        if rows[i] == rows[j] and abs(i - j) <= quality.REACH:
+            for a in found.kinds:
+                plain[a[i]] += sum(index[b[j]] for b in found.kinds)
+    assert np.array_equal(total, plain)
+    unit = quality.word_vectors(docs, own)
+    assert np.allclose(unit, plain / np.maximum(np.linalg.norm(plain, axis=1, keepdims=True), 1e-12), atol=1e-6)
+
+
 def test_quality_on_held_out_rows(spark, documents, odd):
     rng = random.Random(9)
     good = lambda: " ".join(rng.choice("sun moon river stone green walks under over quiet light".split()) for _ in range(60))
