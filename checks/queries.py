@@ -513,21 +513,14 @@ def train_models(spark, sf):
 
 @query
 def grid_search(spark, sf):
-    grid = {name: models.GRID[name] for name in (models.LOGISTIC, models.TREE)}
-    _, tried = models.grid_search(model_set(spark, sf), grid)
+    _, tried = models.grid_search(model_set(spark, sf))
     return spark.createDataFrame(tried, "model string, settings string, accuracy double")
 
 
 @query
 def best_model(spark, sf):
     data = model_set(spark, sf)
-    grid = {
-        models.LOGISTIC: models.GRID[models.LOGISTIC],
-        models.FOREST: {"n_estimators": [50], "max_depth": [5]},
-        models.TREE: models.GRID[models.TREE],
-        models.BOOSTING: {"learning_rate": [0.1], "n_estimators": [50]},
-    }
-    best, _ = models.grid_search(data, grid)
+    best, _ = models.grid_search(data)
     chosen = models.best_model(best)
     return models.evaluate(data, [chosen]).withColumn("cv_accuracy", F.lit(chosen.cv_accuracy))
 

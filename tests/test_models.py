@@ -171,3 +171,20 @@ def test_high_risk_is_least_active(spark):
     df = spark.createDataFrame(rows, "customer_id string, recency bigint, frequency bigint, monetary double")
     got = clusters.high_risk_customers(df).where("is_high_risk = 1")
     assert {r["customer_id"][0] for r in got.collect()} == {"a"} and got.count() == 20
+
+
+def test_queries_search_every_setting(spark, folder, monkeypatch):
+    from checks import queries
+
+    grids = []
+
+    def searched(data, grid=models.GRID, **settings):
+        grids.append(grid)
+        raise StopIteration
+
+    monkeypatch.setattr(queries.models, "grid_search", searched)
+    monkeypatch.setattr(queries, "model_set", lambda spark, sf: None)
+    for name in ("grid_search", "best_model"):
+        with pytest.raises(StopIteration):
+            queries.QUERIES[name](spark, folder)
+    assert grids == [models.GRID, models.GRID]
