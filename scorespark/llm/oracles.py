@@ -184,3 +184,100 @@ SELECT doc_id, coalesce(licence, inherited) AS licence, CASE WHEN licence IS NOT
        CASE WHEN licence IS NULL THEN directory END AS directory
 FROM d LEFT JOIN own USING (r) LEFT JOIN n USING (folder)
 """
+
+# DuckDB has no CRC-32: eight steps of the reversed polynomial for each character of a decimal number.
+_CRC32 = """xor(list_reduce(list_transform(string_split({}::VARCHAR, ''), lambda c: unicode(c)::BIGINT),
+      lambda s, c: list_reduce(list_transform(range(8), lambda k: 0::BIGINT),
+        lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(s, c)), 4294967295::BIGINT), 4294967295)"""
+
+# A run repeats at least five words in a row, so five equal words name every lag that can have one;
+# consecutive places with the same lag make a run, of which the smallest lag is the period.
+ORACLES["op11_scale_tiled_runs"] = rf"""
+WITH t AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_CRC32.format("doc_id")} AS h
+  FROM documents
+), u AS (
+  SELECT *, len(w)::BIGINT AS n, h // 10 AS g FROM t
+), v AS (
+  SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM u
+), d AS (
+  SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END + 1]) ELSE w END AS w
+  FROM v
+), x AS (
+  SELECT r, n, i, w[i + 1 : i + 5] AS five FROM (SELECT r, n, w, unnest(range(n - 4)) AS i FROM d)
+), m AS (
+  SELECT x.r, x.i, y.i - x.i AS q FROM x JOIN x AS y ON x.r = y.r AND x.five = y.five AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), k AS (
+  SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS part FROM m
+), l AS (
+  SELECT r, q, min(i) AS start, count(*) + 4 + q AS length FROM k GROUP BY r, q, part HAVING length >= greatest(6, 4 * q)
+), runs AS (
+  SELECT r, start, length, min(q) AS period FROM l GROUP BY r, start, length
+), best AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed,
+         first(struct_pack(start, length, period) ORDER BY length::DOUBLE / period DESC, start, period) AS top
+  FROM runs GROUP BY r
+), gone AS (
+  SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS collapsed
+  FROM (SELECT r, unnest(w) AS word, unnest(range(n)) AS i FROM d) ANTI JOIN gone USING (r, i) GROUP BY r
+)
+SELECT doc_id, n AS n_words, coalesce(n_runs, 0)::BIGINT AS n_runs, top.start::BIGINT AS start, top.length::BIGINT AS length,
+       top.period::BIGINT AS period, (1000 * top.length // top.period)::BIGINT AS exponent_milli,
+       sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM d LEFT JOIN best USING (r) LEFT JOIN kept USING (r)
+"""
+
+
+def _merkle() -> str:
+    """Level by level, for groups of up to 2^24 rows and up to 2^8 groups."""
+
+    def leaf(n_chars: str) -> str:
+        fields = ("doc_id", "source", "lang", n_chars, "text")
+        return "sha256(" + " || ".join(f"coalesce(strlen(({f})::VARCHAR) || ':' || ({f})::VARCHAR, '-')" for f in fields) + ")"
+
+    def level(out: str, below: str) -> str:
+        return f"""{out} AS MATERIALIZED (
+  SELECT key, i // 2 AS i, CASE WHEN total = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d, (total + 1) // 2 AS total
+  FROM {below} GROUP BY key, i // 2, total
+)"""
+
+    def step(out: str, below: str, nodes: str, k: int, key: str, i: str, total: str) -> str:
+        return f"""{out} AS MATERIALIZED (
+  SELECT f.* REPLACE (proof || coalesce(s.d, '') AS proof,
+    CASE WHEN ({total} - 1) >> {k} = 0 THEN x WHEN s.d IS NULL THEN sha256(x) WHEN ({i} >> {k}) & 1 = 1 THEN sha256(s.d || x) ELSE sha256(x || s.d) END AS x)
+  FROM {below} f LEFT JOIN {nodes} s ON s.key = {key} AND s.i = xor({i} >> {k}, 1)
+)"""
+
+    parts = [
+        f"""t AS (
+  SELECT doc_id, CASE WHEN lang IS NULL THEN '-' ELSE '=' || lang END AS key, {leaf("n_chars")} AS leaf,
+         CASE WHEN {_CRC32.format("doc_id")} % 7 = 0 THEN {leaf("n_chars + 1")} END AS changed
+  FROM documents
+)""",
+        """p AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY key) AS total FROM t
+)""",
+        "n0 AS MATERIALIZED (SELECT key, i, leaf AS d, total FROM p)",
+        *(level(f"n{k + 1}", f"n{k}") for k in range(24)),
+        """m0 AS MATERIALIZED (
+  SELECT '' AS key, row_number() OVER (ORDER BY key) - 1 AS i, d, count(*) OVER () AS total, key AS own FROM n24
+)""",
+        *(level(f"m{k + 1}", f"m{k}") for k in range(8)),
+        """f0 AS (
+  SELECT doc_id, leaf, p.key, p.i, p.total, m0.i AS j, m0.total AS groups, m0.d AS subroot, '' AS proof, coalesce(changed, leaf) AS x
+  FROM p JOIN m0 ON own = p.key
+)""",
+        *(step(f"f{k + 1}", f"f{k}", f"n{k}", k, "f.key", "f.i", "f.total") for k in range(24)),
+        *(step(f"f{24 + k + 1}", f"f{24 + k}", f"m{k}", k, "''", "f.j", "groups") for k in range(8)),
+    ]
+    return (
+        "WITH " + ", ".join(parts) + """
+SELECT doc_id, leaf, subroot, m8.d AS root, sha256(proof) AS proof_sha256, x AS folded_root, x = m8.d AS verified FROM f32, m8
+"""
+    )
+
+
+ORACLES["op13_path_copying_tree"] = _merkle()

@@ -12,7 +12,9 @@ from scorespark.llm.decontamination import benchmark_overlaps
 from scorespark.llm.html_text import visible_text
 from scorespark.llm.language_model import language_model_scores
 from scorespark.llm.licences import file_licences
+from scorespark.llm.merkle import merkle_manifest
 from scorespark.llm.mixing import mix_table
+from scorespark.llm.periodic import periodic_runs
 from scorespark.llm.quality import quality_scores
 from scorespark.llm.repetition import repetition_rules
 from scorespark.llm.simhash import near_duplicates
@@ -84,3 +86,39 @@ def op9_simhash_variants(spark, sf):
 @query
 def op10_gated_language_model(spark, sf):
     return language_model_scores(table(spark, sf, "documents"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """Texts of one document in ten, by the CRC-32 of their id, repeat from some word on; other rows stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    planted = h % 10 == 0
+    rows = docs.select("doc_id", "text", F.when(planted, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("w"), g.alias("g"))
+    rows = rows.withColumn("n", F.size("w").cast("long")).withColumn("a", F.expr("CASE WHEN n > 0 THEN g % n END"))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    places = "transform(sequence(0L, n - 1), i -> element_at(w, cast(if(i < a, i, a + (i - a) % p) + 1 AS int)))"
+    return rows.select("doc_id", F.expr(f"CASE WHEN a IS NULL THEN text ELSE array_join({places}, ' ') END AS text"))
+
+
+@query
+def op11_scale_tiled_runs(spark, sf):
+    found = periodic_runs(with_periods(table(spark, sf, "documents")))
+    top = "aggregate(runs, cast(null AS struct<start: bigint, length: bigint, period: bigint>), (a, x) -> if(a IS NULL OR x.length * a.period > a.length * x.period, x, a))"
+    listed = "array_join(transform(runs, x -> concat(x.start, ',', x.length, ',', x.period, '\\n')), '')"
+    found = found.withColumn("n_runs", F.size("runs").cast("long")).withColumn("top", F.expr(top)).withColumn("listed", F.expr(listed))
+    return found.selectExpr(
+        *"doc_id n_words n_runs top.start top.length top.period".split(),
+        "1000 * top.length div top.period AS exponent_milli",
+        "sha2(listed, 256) AS runs_sha256",
+        "sha2(collapsed, 256) AS collapsed_sha256",
+    )
+
+
+@query
+def op13_path_copying_tree(spark, sf):
+    """Where 7 divides the CRC-32 of the id, one is added to n_chars."""
+    docs = table(spark, sf, "documents")
+    changes = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    made = merkle_manifest(docs, tampered={"n_chars": F.expr("try_add(n_chars, 1)")}, where=changes)
+    siblings = F.concat_ws("", F.transform("proof", lambda step: F.substring(step, 2, 64)))
+    return made.withColumn("proof_sha256", F.sha2(siblings, 256)).drop("proof", "copied")
