@@ -15,6 +15,7 @@ from scorespark.llm.licences import file_licences
 from scorespark.llm.merkle import merkle_manifest
 from scorespark.llm.mixing import mix_table
 from scorespark.llm.periodic import periodic_runs
+from scorespark.llm.projected_neighbours import nearest_neighbours
 from scorespark.llm.quality import quality_scores
 from scorespark.llm.repetition import repetition_rules
 from scorespark.llm.simhash import near_duplicates
@@ -114,6 +115,11 @@ def op11_scale_tiled_runs(spark, sf):
     )
 
 
+@query
+def op12_projected_neighbours(spark, sf):
+    return nearest_neighbours(table(spark, sf, "embeddings"), queries=F.col("vec_id") % 20 == 0)
+
+
 @query
 def op13_path_copying_tree(spark, sf):
     """Where 7 divides the CRC-32 of the id, one is added to n_chars."""
