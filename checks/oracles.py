@@ -203,6 +203,33 @@ GROUPED_LABELS = "risk_label, count(*) AS n"
 OUTLIER = "quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.75) AS q3"
 FEATURE_NUMBERS = (*NUMBERS, "hour", "day", "month", "year", "total_transaction", "average_transaction", "transaction_count", "std_transaction")
 
+# Edges, counts and evidence of every variable in every segment.
+SEGMENT_TEXTS = ("currency_code", "provider_id", "product_id", "channel_id")
+SEGMENTS = f""", long AS ({stacked(LABELLED_NUMBERS, 'labelled', 'product_category, risk_label')}),
+  edges AS (SELECT product_category, variable, list_sort(list_distinct(quantile_cont(x, {FIFTHS}))) AS e FROM long GROUP BY 1, 2),
+  texts AS ({stacked_texts(SEGMENT_TEXTS, 'labelled', 'product_category, risk_label')}),
+  few AS (SELECT variable FROM texts GROUP BY variable HAVING count(DISTINCT x) <= 10),
+  counts AS (
+    SELECT product_category, variable, bin_id, e[bin_id] AS lower, e[bin_id + 1] AS upper,
+      count(*) FILTER (WHERE risk_label = 'Good') AS good, count(*) FILTER (WHERE risk_label = 'Bad') AS bad, count(*) AS total
+    FROM (SELECT *, CAST(1 + len(list_filter(e[2:len(e) - 1], lambda v: x > v)) AS INT) AS bin_id
+          FROM long JOIN edges USING (product_category, variable) WHERE len(e) >= 2) GROUP BY ALL
+    UNION ALL
+    SELECT product_category, variable, CAST(row_number() OVER (PARTITION BY product_category, variable ORDER BY x) AS INT), NULL, NULL, good, bad, total
+    FROM (SELECT product_category, variable, x, count(*) FILTER (WHERE risk_label = 'Good') AS good,
+          count(*) FILTER (WHERE risk_label = 'Bad') AS bad, count(*) AS total FROM texts SEMI JOIN few USING (variable) GROUP BY 1, 2, 3)),
+  segments AS (
+    SELECT *, ln(((good + 0.5::DOUBLE) / (G + 0.5::DOUBLE)) / ((bad + 0.5::DOUBLE) / (B + 0.5::DOUBLE))) AS woe,
+      coalesce(good / nullif(G, 0), 0) - coalesce(bad / nullif(B, 0), 0) AS share
+    FROM (SELECT *, sum(good) OVER w::DOUBLE AS G, sum(bad) OVER w::DOUBLE AS B FROM counts WINDOW w AS (PARTITION BY product_category, variable)))"""
+
+# Rows of a label: the first ranks are the test part, the others five folds in turn.
+PARTS = """, sizes AS (SELECT CASE WHEN risk_label = 'Good' THEN 1 ELSE 0 END AS label, count(*) AS n FROM labelled WHERE risk_label IS NOT NULL GROUP BY 1),
+  cuts AS (SELECT label, n, i, CASE WHEN i = 0 THEN 0 WHEN i = 6 THEN n ELSE ceil((n - 1) * (0.3::DOUBLE + 0.7::DOUBLE * (i - 1) / 5)) END AS upto
+    FROM sizes, range(7) t(i)),
+  pieces AS (SELECT a.label::INT AS label, CASE WHEN a.i = 0 THEN 'test' ELSE 'train' END AS part, CASE WHEN a.i > 0 THEN a.i - 1 END::INT AS fold,
+    (b.upto - a.upto)::BIGINT AS n FROM cuts a JOIN cuts b ON b.label = a.label AND b.i = a.i + 1)"""
+
 ORACLES = {
     "scan_transactions": over("transactions", "SELECT * FROM transactions"),
     "first_rows": over("transactions", f"SELECT * FROM transactions ORDER BY {ORDER} LIMIT 5"),
@@ -352,24 +379,21 @@ ORACLES = {
     ),
     "woe_transform": over(
         "numeric_woe category_woe",
-        """, of_bins AS (SELECT max(e) FILTER (WHERE variable = 'amount') AS ea, max(e) FILTER (WHERE variable = 'rfms_score') AS er FROM edges)
-        SELECT transaction_id, amount, round(a.woe, 6) AS amount_woe, round(r.woe, 6) AS rfms_score_woe, round(p.woe, 6) AS provider_id_woe
-        FROM labelled l, of_bins o, nwoe a, nwoe r, cwoe p
-        WHERE a.variable = 'amount' AND a.bin_id = 1 + len(list_filter(ea[2:len(ea) - 1], lambda v: l.amount > v))
-        AND r.variable = 'rfms_score' AND r.bin_id = 1 + len(list_filter(er[2:len(er) - 1], lambda v: l.rfms_score > v))
-        AND p.variable = 'provider_id' AND p.label = l.provider_id""",
+        f""", numbers AS ({stacked(LABELLED_NUMBERS, 'labelled', 'transaction_id')}),
+        texts_of AS ({stacked_texts(('currency_code', 'provider_id', 'product_id', 'product_category', 'channel_id'), 'labelled', 'transaction_id')})
+        SELECT transaction_id, n.variable, round(w.woe, 6) AS woe FROM numbers n JOIN edges USING (variable)
+        JOIN nwoe w ON w.variable = n.variable AND w.bin_id = 1 + len(list_filter(e[2:len(e) - 1], lambda v: n.x > v)) WHERE len(e) >= 2
+        UNION ALL SELECT transaction_id, t.variable, round(w.woe, 6) FROM texts_of t JOIN cwoe w ON w.variable = t.variable AND w.label = t.x""",
     ),
     "woe_by_segment": over(
         "labelled",
-        f""", long AS ({stacked(('value', 'rfms_score'), 'labelled', 'product_category, risk_label')}),
-        edges AS (SELECT variable, list_sort(list_distinct(quantile_cont(x, {FIFTHS}))) AS e FROM long GROUP BY variable),
-        counts AS (SELECT product_category, variable, CAST(1 + len(list_filter(e[2:len(e) - 1], lambda v: x > v)) AS INT) AS bin_id,
-          count(*) FILTER (WHERE risk_label = 'Good') AS good, count(*) FILTER (WHERE risk_label = 'Bad') AS bad
-          FROM long JOIN edges USING (variable) GROUP BY 1, 2, 3)
-        SELECT product_category, variable, bin_id, good, bad,
-          round(ln(((good + 0.5::DOUBLE) / (sum(good) OVER w + 0.5::DOUBLE)) / ((bad + 0.5::DOUBLE) / (sum(bad) OVER w + 0.5::DOUBLE))), 6) AS woe
-        FROM counts WINDOW w AS (PARTITION BY product_category, variable)""",
+        SEGMENTS + """ SELECT product_category, variable, bin_id, round(lower, 6) AS lower, round(upper, 6) AS upper, good, bad,
+          round(bad / total, 6) AS bad_rate, round(woe, 6) AS woe FROM segments""",
+    ),
+    "iv_by_segment": over(
+        "labelled", SEGMENTS + " SELECT product_category, variable, round(sum(share * woe), 6) AS iv FROM segments GROUP BY 1, 2"
     ),
+    "scorecard_roundtrip": over("labelled", "SELECT count(*) AS n, count(*) AS n_equal FROM labelled"),
     "standardize": over("transactions", f"SELECT transaction_id, {', '.join(scaled(c) for c in NUMBERS)} FROM transactions"),
     "scaler_params": over("transactions", f"SELECT variable, round(avg(x), 4) AS mean, round(stddev_pop(x), 4) AS std FROM ({stacked(NUMBERS, 'transactions')}) GROUP BY 1"),
     "label_encode": over(
@@ -393,10 +417,13 @@ ORACLES = {
     ),
     "artefact_roundtrip": over(
         "labelled",
-        f""", stats AS ({stacked(NUMBERS, 'labelled')})
+        f""", stats AS ({stacked(NUMBERS, 'labelled')}),
+        texts AS ({stacked_texts(('currency_code', 'provider_id', 'product_id', 'product_category', 'channel_id'), 'labelled')}),
+        edges AS (SELECT variable, list_sort(list_distinct(quantile_cont(x, {FIFTHS}))) AS e FROM stats GROUP BY variable)
         SELECT 'scaler' AS kind, variable, 'mean' AS item, round(avg(x), 4) AS number FROM stats GROUP BY variable
-        UNION ALL SELECT 'encoder', 'product_category', x, (row_number() OVER (ORDER BY x) - 1)::DOUBLE FROM (SELECT DISTINCT product_category AS x FROM labelled)
-        UNION ALL SELECT 'encoder', 'currency_code', 'UGX', 0.0::DOUBLE
+        UNION ALL SELECT 'scaler', variable, 'deviation', round(stddev_pop(x), 4) FROM stats GROUP BY variable
+        UNION ALL SELECT 'encoder', variable, x, (row_number() OVER (PARTITION BY variable ORDER BY x) - 1)::DOUBLE FROM (SELECT DISTINCT variable, x FROM texts)
+        UNION ALL SELECT 'bins', variable, concat('edge ', i), round(e[i + 1], 4) FROM (SELECT *, unnest(range(len(e))) AS i FROM edges)
         UNION ALL SELECT 'model', 'risk_label', risk_label, count(*)::DOUBLE FROM labelled GROUP BY risk_label""",
     ),
     "stratified_split": over(
@@ -427,6 +454,14 @@ ORACLES = {
         round(2 * tp / (2 * tp + fp + fn), 6) AS f1, round(auc, 6) AS roc_auc FROM c, area""",
     ),
     "batch_scoring": over("labelled", SCORED_REQUESTS),
+    "winner_scoring": over("labelled", SCORED_REQUESTS),
+    "training_parts": over("labelled", PARTS + " SELECT * FROM pieces"),
+    "synthetic_training": over(
+        "labelled",
+        PARTS + """, minority AS (SELECT label FROM pieces WHERE part = 'train' GROUP BY label ORDER BY sum(n), label LIMIT 1)
+        SELECT label, fold, CASE WHEN label = (SELECT label FROM minority) THEN max(n) OVER (PARTITION BY fold) ELSE n END AS n, TRUE AS within
+        FROM pieces WHERE part = 'train'""",
+    ),
     "stream_scoring": over("labelled", SCORED_REQUESTS),
     "histogram_linear": over("transactions", histogram("transactions", {c: f"{c}::DOUBLE" for c in ("country_code", "amount", "value", "pricing_strategy", "fraud_result")}, 15)),
     "histogram_log": over("event_transactions", histogram("event_transactions", {"value": log10_of("value")}, 30)),
@@ -442,11 +477,15 @@ ORACLES = {
         count(*) FILTER (WHERE x < lo OR x > hi) AS n_outliers FROM long JOIN f USING (variable) GROUP BY variable""",
     ),
     "density_curve": over(
-        "event_transactions",
-        """, s AS (SELECT count(value)::DOUBLE AS n, stddev_samp(value) * count(value)::DOUBLE ** (-0.2::DOUBLE) AS h, min(value) AS lo, max(value) AS hi FROM event_transactions),
-        grid AS (SELECT CAST(i AS INT) AS point, lo + i * ((hi - lo) / 49) AS x FROM s, range(0, 50) t(i))
-        SELECT point, round(x, 8) AS x, round(sum(exp(-0.5 * ((x - value) / h) ** 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 8) AS density
-        FROM grid, event_transactions, s GROUP BY point, x""",
+        "transactions",
+        f""", series AS ({" UNION ALL ".join(f"SELECT '{c}' AS variable, 'plain' AS axis, {c}::DOUBLE AS v FROM transactions" for c in NUMBERS)}
+          UNION ALL SELECT 'value', 'log', {log10_of('value')} FROM transactions UNION ALL SELECT 'credit', 'log', {log10_of('(-amount)')} FROM transactions
+          UNION ALL SELECT 'debit', 'log', {log10_of('amount')} FROM transactions),
+        s AS (SELECT variable, axis, count(v)::DOUBLE AS n, stddev_samp(v) * count(v)::DOUBLE ** (-0.2::DOUBLE) AS h, min(v) AS lo, max(v) AS hi FROM series GROUP BY 1, 2),
+        grid AS (SELECT *, CAST(i AS INT) AS point, lo + i * ((hi - lo) / 49) AS x FROM s, range(0, 50) t(i) WHERE h > 0),
+        merged AS (SELECT variable, axis, v, count(*) AS c FROM series WHERE v IS NOT NULL GROUP BY ALL)
+        SELECT variable, axis, point, round(x, 8) AS x, round(sum(c * exp(-0.5 * ((x - v) / h) ** 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())) * any_value((hi - lo) / 49), 5) AS mass
+        FROM grid JOIN merged USING (variable, axis) GROUP BY variable, axis, point, x""",
     ),
     "score_scatter": over("scored", "SELECT rfms_score, monetary_score, count(*) AS n FROM scored GROUP BY 1, 2"),
     "account_flow_features": over(

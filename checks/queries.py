@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from scorespark.functions.columns import count_if
 from scorespark.functions.quantiles import quantile_table
 from scorespark.operators import (
     binning,
@@ -43,6 +47,12 @@ ROW_KEY = ("transaction_id", "txn_ts", "product_id", "provider_id", "value")
 
 MODEL_COLUMNS = tuple(dict.fromkeys((*ROW_KEY, *MODEL_FEATURES, "risk_label")))
 
+# What describes a transaction or its customer, and the label.
+DESCRIBING = (
+    *NUMBERS, "currency_code", "provider_id", "product_id", "product_category", "channel_id",
+    "recency_score", "frequency_score", "monetary_score", "std_score", "rfms_score", "risk_label",
+)
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -90,6 +100,19 @@ def model_set(spark: SparkSession, sf: str) -> models.TrainingSet:
     return training.training_set(tx(spark, sf), as_of=AS_OF, by=ROW_KEY)
 
 
+# The search of a folder's models, made once a session: several queries ask for parts of it.
+_SEARCHES: dict = {}
+
+
+def searched(spark: SparkSession, sf: str) -> tuple[models.TrainingSet, list[models.Trained], list[tuple[str, str, float]]]:
+    """Training set, the best setting of every learner with the best one's model, and all settings tried."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _SEARCHES:
+        data = model_set(spark, sf)
+        _SEARCHES[key] = (data, *models.grid_search(data, refit="best"))
+    return _SEARCHES[key]
+
+
 def requests_from(labelled_rows: DataFrame) -> DataFrame:
     return labelled_rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCORING_REQUEST.fields])
 
@@ -124,20 +147,26 @@ def write_features(spark, sf):
 @query
 def artefact_roundtrip(spark, sf):
     path = new_path(spark, "artefacts")
-    rows = labelled(spark, sf, *dict.fromkeys((*MODEL_COLUMNS, *NUMBERS, "currency_code")))
+    texts = ("currency_code", "provider_id", "product_id", "product_category", "channel_id")
+    rows = labelled(spark, sf, *dict.fromkeys((*MODEL_COLUMNS, *NUMBERS, *texts)))
     data = models.TrainingSet.build(training.model_rows(rows, keep=ROW_KEY), by=ROW_KEY)
     saved = Artefacts(
         Scaler.fit(rows, NUMBERS),
-        LabelEncoder.fit(rows, ["product_category", "currency_code"]),
+        LabelEncoder.fit(rows, texts),
         training.fit_scoring_model(data, max_depth=5),
+        binning.QuantileBins.fit(rows, NUMBERS),
     )
     saved.save(spark, path)
     loaded = Artefacts.load(spark, path)
     same = score_requests(requests_from(rows), loaded.model).groupBy("risk_label").count()
-    numbers = loaded.scaler.table(spark).select(F.lit("scaler").alias("kind"), "variable", F.lit("mean").alias("item"), F.col("mean").alias("number"))
+    scaler = loaded.scaler.table(spark)
+    numbers = scaler.select(F.lit("scaler").alias("kind"), "variable", F.lit("mean").alias("item"), F.col("mean").alias("number"))
+    spread = scaler.select(F.lit("scaler"), "variable", F.lit("deviation"), "std")
     codes = loaded.encoder.dictionary.select(F.lit("encoder"), "variable", "value", F.col("code").cast("double"))
+    edges = [("bins", c, f"edge {i}", float(x)) for c, own in loaded.bins.edges.items() for i, x in enumerate(own)]
+    edges = spark.createDataFrame(edges, "kind string, variable string, item string, number double")
     labels = same.select(F.lit("model"), F.lit("risk_label"), "risk_label", F.col("count").cast("double"))
-    return rounded(numbers.union(codes).union(labels), 4)
+    return rounded(numbers.union(spread).union(codes).union(edges).union(labels), 4)
 
 
 # ---- projections and filters -----------------------------------------------------------------
@@ -427,20 +456,43 @@ def woe_report(spark, sf):
 
 @query
 def woe_transform(spark, sf):
-    e = evidence.build_evidence(labelled(spark, sf, "transaction_id", "amount", "rfms_score", "provider_id", "risk_label"))
-    both = e.numeric.where("variable in ('amount', 'rfms_score')").unionByName(
-        e.categorical.where("variable = 'provider_id'")
-    )
-    replaced = woe.woe_transform(e.rows, both, e.bins)
-    return rounded(replaced.select("transaction_id", "amount", "amount_woe", "rfms_score_woe", "provider_id_woe"))
+    """Every variable of every row replaced by its evidence, a row each."""
+    rows = evidence.labelled_rows(tx(spark, sf), as_of=AS_OF, columns=[*DESCRIBING, "transaction_id"])
+    e = evidence.build_evidence(rows)
+    encoder = e.encoder
+    replaced = encoder.transform(rows).select("transaction_id", *[F.col(o).alias(v) for v, o in zip(encoder.variables, encoder.outputs)])
+    return rounded(replaced.unpivot(["transaction_id"], encoder.variables, "variable", "woe"))
 
 
 @query
 def woe_by_segment(spark, sf):
-    rows = labelled(spark, sf, "value", "rfms_score", "product_category", "risk_label")
-    bins = binning.QuantileBins.fit(rows, ["value", "rfms_score"])
-    table = woe.woe_table(woe.numeric_counts(rows, bins, by=["product_category"]), by=["product_category"])
-    return rounded(table.select("product_category", "variable", "bin_id", "good", "bad", "woe"))
+    table = evidence.segment_evidence(labelled(spark, sf), "product_category")
+    return rounded(table.select("product_category", "variable", "bin_id", "lower", "upper", "good", "bad", "bad_rate", "woe"))
+
+
+@query
+def iv_by_segment(spark, sf):
+    table = evidence.segment_evidence(labelled(spark, sf), "product_category")
+    return rounded(woe.information_value(table, by=["product_category"]))
+
+
+@query
+def scorecard_roundtrip(spark, sf):
+    """A scorecard on the evidence of all variables, before saving, after loading, and over a stream: rows, and rows with equal answers."""
+    e = evidence.build_evidence(labelled(spark, sf))
+    model = evidence.fit_scorecard(e)
+    path, arriving, out = (new_path(spark, n) for n in ("scorecard", "arriving", "scored"))
+    model.write().save(path)
+    loaded = PipelineModel.load(path)
+    rows = e.rows.withColumn("_row", F.monotonically_increasing_id())
+    rows.write.parquet(arriving)
+    rows = spark.read.schema(rows.schema).parquet(arriving)
+    stream = loaded.transform(spark.readStream.schema(rows.schema).parquet(arriving)).select("_row", "predicted_label")
+    running = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", new_path(spark, "progress"))
+    running.trigger(availableNow=True).start().awaitTermination()
+    before = model.transform(rows).select("_row", F.col("predicted_label").alias("before"))
+    after = spark.read.parquet(out).join(before, "_row")
+    return after.agg(F.count(F.lit(1)).alias("n"), count_if(F.col("before") == F.col("predicted_label")).alias("n_equal"))
 
 
 # ---- scaling and encoding --------------------------------------------------------------------
@@ -513,18 +565,49 @@ def train_models(spark, sf):
 
 @query
 def grid_search(spark, sf):
-    _, tried = models.grid_search(model_set(spark, sf))
+    _, _, tried = searched(spark, sf)
     return spark.createDataFrame(tried, "model string, settings string, accuracy double")
 
 
 @query
 def best_model(spark, sf):
-    data = model_set(spark, sf)
-    best, _ = models.grid_search(data)
+    data, best, _ = searched(spark, sf)
     chosen = models.best_model(best)
     return models.evaluate(data, [chosen]).withColumn("cv_accuracy", F.lit(chosen.cv_accuracy))
 
 
+@query
+def winner_scoring(spark, sf):
+    """The best model of the search as a stored version, loaded again, over all requests."""
+    data, best, _ = searched(spark, sf)
+    chosen = models.best_model(best)
+    path = new_path(spark, "winner")
+    rows = labelled(spark, sf, *MODEL_COLUMNS)
+    Artefacts(
+        Scaler.fit(rows, MODEL_FEATURES[:3]), LabelEncoder.fit(rows, MODEL_FEATURES[3:]), models.scoring_model(data, chosen), settings=chosen.settings
+    ).save(spark, path)
+    model = Artefacts.load(spark, path).model
+    return score_requests(requests_from(rows), model).groupBy(*MODEL_FEATURES, "risk_label", "_error").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def training_parts(spark, sf):
+    """Rows of each label in the test part and in every fold of the training part."""
+    data = model_set(spark, sf)
+    return data.train.unionByName(data.test).groupBy("label", "part", "fold").agg(F.sum("n").alias("n"))
+
+
+@query
+def synthetic_training(spark, sf):
+    """Rows of each label in every fold after synthetic rows, and whether all lie within the range of their label's own rows."""
+    data = training.training_set(tx(spark, sf), as_of=AS_OF, by=ROW_KEY, balance="synthetic")
+    points = data.train.withColumn("x", vector_to_array("features"))
+    place = range(len(MODEL_FEATURES))
+    own = F.col("rfms_score").isNotNull()
+    within = [(F.min(F.col("x")[i]) >= F.min(F.when(own, F.col("x")[i])) - 1e-9) & (F.max(F.col("x")[i]) <= F.max(F.when(own, F.col("x")[i])) + 1e-9) for i in place]
+    return points.groupBy("label", "fold").agg(F.sum("n").alias("n"), functools.reduce(lambda a, b: a & b, within).alias("within"))
+
+
 @query
 def classification_metrics(spark, sf):
     rows = features.encode_label(labelled(spark, sf, "value", "risk_label"))
@@ -609,7 +692,10 @@ def boxplot_stats(spark, sf):
 
 @query
 def density_curve(spark, sf):
-    return rounded(distributions.density_curve(ev(spark, sf), "value"), 8)
+    """Densities times the distance of two points, which makes them comparable between variables."""
+    curves = distributions.all_densities(tx(spark, sf), columns=NUMBERS)
+    step = (F.max("x").over(Window.partitionBy("variable", "axis")) - F.min("x").over(Window.partitionBy("variable", "axis"))) / 49
+    return rounded(curves.select("variable", "axis", "point", "x", (F.col("density") * step).alias("mass")), 8, mass=5)
 
 
 @query

@@ -65,15 +65,16 @@ def parse_timestamp(column: Column | str, *, strict: bool = True) -> Column:
     return F.when(text.isNotNull() & instant.isNull(), problem).otherwise(wall)
 
 
-def hash_fraction(*columns: Column | str, seed: int | str = 0) -> Column:
+def hash_fraction(*columns: Column | str, seed: int | str = 0, digits: int = 8) -> Column:
     """Reproducible number in [0, 1) from the given columns.
 
     Built on md5 so that other SQL engines can compute the same number.  A
     retried task gets the same answer, which ``rand`` does not promise once
-    the order of rows changes.
+    the order of rows changes.  Of the digest the first ``digits`` hexadecimal
+    digits count, 13 at most, as a double holds no more.
     """
     text = F.concat_ws("|", *[F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in columns], F.lit(str(seed)))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+    return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("bigint") / F.lit(16.0**digits)
 
 
 def count_if(condition: Column) -> Column:

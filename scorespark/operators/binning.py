@@ -12,6 +12,7 @@ from scorespark.functions.columns import as_number, categorical_columns, numeric
 from scorespark.functions.quantiles import exact_quantiles
 
 MOST_CATEGORIES = 10
+MOST_SEGMENTS = 50
 BITMAP_BITS = 32_768  # size of Spark's bitmap aggregate
 
 
@@ -30,6 +31,14 @@ class QuantileBins:
         found = exact_quantiles(df, columns, [*(i * (1.0 / n_bins) for i in range(n_bins)), 1.0])
         return cls({c: sorted({e for e in found[c] if e is not None}) for c in columns})
 
+    @property
+    def binned(self) -> list[str]:
+        return [c for c, edges in self.edges.items() if len(edges) >= 2]
+
+    @property
+    def by(self) -> list[str]:
+        return []
+
     def assign(self, column: str, value: Column | None = None) -> Column:
         """Bin 1..k, intervals closed on the right, the lowest value included; NULL outside."""
         edges = self.edges[column]
@@ -50,6 +59,62 @@ class QuantileBins:
         return spark.createDataFrame(rows, "variable string, bin_id int, lower double, upper double, label string")
 
 
+@dataclass(frozen=True)
+class SegmentBins:
+    """Edges of each column in each segment; ``edges`` is keyed by segment, then column.
+
+    Segments are the values of a column with few of them.  A column's values in
+    one segment are a column of their own for the quantile search, so all
+    segments and columns are searched in the same jobs.
+    """
+
+    segment: str
+    edges: dict[str, dict[str, list[float]]]
+
+    @classmethod
+    def fit(cls, df: DataFrame, columns: Sequence[str], *, segment: str, n_bins: int = 5, most: int = MOST_SEGMENTS) -> SegmentBins:
+        """More than ``most`` segments are an error: their edges would no longer be a handful of literals."""
+        found = df.where(F.col(segment).isNotNull()).select(F.col(segment).cast("string").alias("s")).distinct().limit(most + 1).collect()
+        if len(found) > most:
+            raise ValueError(f"{segment} has more than {most} values")
+        segments = sorted(r["s"] for r in found)
+        names = {f"_{i}_{j}": (s, c) for i, s in enumerate(segments) for j, c in enumerate(columns)}
+        parts = [F.when(F.col(segment).cast("string") == s, as_number(c)).alias(n) for n, (s, c) in names.items()]
+        edges: dict[str, dict[str, list[float]]] = {s: {} for s in segments}
+        if names:
+            for n, own in QuantileBins.fit(df.select(*parts), list(names), n_bins=n_bins).edges.items():
+                s, c = names[n]
+                edges[s][c] = own
+        return cls(segment, edges)
+
+    @property
+    def binned(self) -> list[str]:
+        return list(dict.fromkeys(c for own in self.edges.values() for c, e in own.items() if len(e) >= 2))
+
+    @property
+    def by(self) -> list[str]:
+        return [self.segment]
+
+    def assign(self, column: str, value: Column | None = None) -> Column:
+        """Bin within the row's segment; NULL outside and where a segment has no bins."""
+        out = F.lit(None).cast("int")
+        for s, own in self.edges.items():
+            out = F.when(F.col(self.segment).cast("string") == s, QuantileBins(own).assign(column, value)).otherwise(out)
+        return out
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(segment, variable, bin_id, lower, upper, label), a few rows per segment and column."""
+        columns = f"`{self.segment}` string, variable string, bin_id int, lower double, upper double, label string"
+        rows = [
+            (s, c, i + 1, lo, hi, f"({lo:.{places}f}, {hi:.{places}f}]")
+            for s, own in self.edges.items()
+            for c, edges in own.items()
+            for places in (_places(edges),)
+            for i, (lo, hi) in enumerate(zip(edges, edges[1:]))
+        ]
+        return spark.createDataFrame(rows, columns)
+
+
 def _places(edges: Sequence[float], least: int = 3, most: int = 17) -> int:
     """Decimals, three or more, with which all edges read differently."""
     return next((p for p in range(least, most) if len({f"{e:.{p}f}" for e in edges}) == len(edges)), most)

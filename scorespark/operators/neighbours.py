@@ -1,10 +1,12 @@
-"""Exact nearest neighbours between points of a table, by boxes of bounded size.
-
-A tree of boxes is cut at medians of a sample, so that each box holds about
-``LEAF`` points wherever the points are dense or sparse.  Every asking point is
-first compared with its own box.  The k-th distance found there bounds the true
-one, so only boxes that reach into that distance can hold anything nearer; the
-point is sent to those, and the nearest of all answers are kept.
+"""Exact nearest neighbours between points of a table, in boxes and chunks of bounded size.
+
+Space is cut into at most ``MOST_BOXES`` boxes at medians of a sample of bounded
+size, and the points of a box are dealt to chunks by their hash, so that neither
+the driver nor a task holds more as points grow.  Inside its task, a chunk is cut
+into small boxes in the same way.  Every asking point is first compared with its
+own chunk.  The k-th distance found there bounds the true one, so only chunks of
+boxes that reach into that distance can hold anything nearer; the point is sent
+to those, and the nearest of all answers are kept.
 """
 
 from __future__ import annotations
@@ -20,9 +22,11 @@ from pyspark.sql import functions as F
 from scorespark.functions.columns import hash_fraction
 from scorespark.session import materialize
 
-LEAF = 1_000
-SAMPLES_PER_LEAF = 16
-SALT = 4
+LEAF = 500  # points of a box inside a task
+CHUNK = 16_384  # points that a task holds
+ASKING = 65_536  # points that ask a chunk in one task
+MOST_BOXES = 1_024
+MOST_SAMPLES = 65_536
 PAIRS_AT_ONCE = 1 << 21
 
 
@@ -94,10 +98,8 @@ class Boxes:
         return np.concatenate([empty, *(p for p, _ in found)]), np.concatenate([empty, *leaves])
 
 
-def _nearest(asking: np.ndarray, points: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(asking row, distances, point rows) of the k nearest others, ties by the points' coordinates."""
-    order = np.lexsort(points.T[::-1])
-    points = points[order]
+def _compare(asking: np.ndarray, points: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(asking rows, point rows, distances) of the nearest others, k a row and all that are as near as the k-th."""
     step = max(1, PAIRS_AT_ONCE // max(1, len(points)))
     for a in range(0, len(asking), step):
         block = asking[a : a + step]
@@ -106,28 +108,65 @@ def _nearest(asking: np.ndarray, points: np.ndarray, k: int) -> Iterator[tuple[i
             squares += (block[:, c : c + 1] - points[:, c]) ** 2
         distance = np.sqrt(squares)
         distance[(block[:, None] == points).all(2)] = np.inf
-        for i, row in enumerate(distance):
-            if len(row) > k:
-                limit = np.partition(row, k - 1)[k - 1]
-                at = np.flatnonzero(row <= limit)
-            else:
-                at = np.arange(len(row))
-            at = at[np.argsort(row[at], kind="stable")][:k]
-            at = at[np.isfinite(row[at])]
-            yield a + i, row[at], order[at]
-
-
-def nearest_points(points: DataFrame, features: Sequence[str], *, k: int, leaf: int = LEAF) -> DataFrame:
-    """(features, _found) for the k nearest others of distinct ``points`` with n <= k copies, as (d, point, n); runs jobs while it is built.
-
-    A task holds the points of one box and a share of those that ask there.
-    """
+        limit = np.partition(distance, k - 1, axis=1)[:, k - 1 : k] if len(points) > k else np.inf
+        row, at = np.nonzero((distance <= limit) & np.isfinite(distance))
+        yield a + row, at, distance[row, at]
+
+
+def search(asking: np.ndarray, points: np.ndarray, k: int, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(asking row, point row, distance) of the k nearest others of each asking point, in order, ties by coordinates."""
+    none = np.zeros(0, np.int64)
+    if not len(asking) or not len(points):
+        return none, none, np.zeros(0)
+    rank = np.empty(len(points), np.int64)
+    rank[np.lexsort(points.T[::-1])] = np.arange(len(points))
+    boxes = Boxes.fit(points, -(-len(points) // leaf))
+    inside = boxes.leaf_of(points)
+    order = np.argsort(inside, kind="stable")
+    names, starts = np.unique(inside[order], return_index=True)
+    members = dict(zip(names.tolist(), np.split(order, starts[1:]), strict=True))
+    home = boxes.leaf_of(asking)
+
+    def asked(rows: np.ndarray, leaves: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        found = [(none, none, np.zeros(0))]
+        by = np.argsort(leaves, kind="stable")
+        for own in np.split(by, np.flatnonzero(np.diff(leaves[by])) + 1):
+            at = members.get(int(leaves[own[0]]), none) if len(own) else none
+            if len(at):
+                found += [(rows[own[i]], at[j], d) for i, j, d in _compare(asking[rows[own]], points[at], k)]
+        return found
+
+    def best(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        i, j, d = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((rank[j], d, i))
+        i, j, d = i[order], j[order], d[order]
+        keep = np.arange(len(i)) - np.searchsorted(i, i) < k
+        return i[keep], j[keep], d[keep]
+
+    first = best(asked(np.arange(len(asking)), home))
+    i, other = boxes.within(asking, _reach(len(asking), first, k))
+    far = other != home[i]
+    return best([first, *asked(i[far], other[far])])
+
+
+def _reach(n: int, found: tuple[np.ndarray, np.ndarray, np.ndarray], k: int) -> np.ndarray:
+    """Distance of the k-th nearest found of each of ``n`` points; infinite where fewer were found."""
+    i, _, d = found
+    reach = np.full(n, np.inf)
+    last = np.flatnonzero(np.arange(len(i)) - np.searchsorted(i, i) == k - 1)
+    reach[i[last]] = d[last]
+    return reach
+
+
+def nearest_points(
+    points: DataFrame, features: Sequence[str], *, k: int, leaf: int = LEAF, chunk: int = CHUNK, most_boxes: int = MOST_BOXES, asking: int = ASKING
+) -> DataFrame:
+    """(features, _found) for the k nearest others of distinct ``points`` with n <= k copies, as (d, point, n); runs jobs while it is built."""
     features = list(features)
     spark, total = points.sparkSession, points.count()
-    leaves = max(1, -(-total // leaf))
-    share = min(1.0, SAMPLES_PER_LEAF * leaves / max(1, total))
+    share = min(1.0, MOST_SAMPLES / max(1, total))
     sample = points.where(hash_fraction(*features, seed="boxes") <= share).select(*features).toPandas().to_numpy(float)
-    boxes = Boxes.fit(sample, leaves)
+    boxes = Boxes.fit(sample, min(most_boxes, -(-total // chunk)))
     shared = spark.sparkContext.broadcast(boxes)
     numbers = ", ".join(f"`{f}` double" for f in features)
 
@@ -136,45 +175,53 @@ def nearest_points(points: DataFrame, features: Sequence[str], *, k: int, leaf:
             yield frame.assign(_leaf=shared.value.leaf_of(frame[features].to_numpy(float)))
 
     placed = materialize(points.select(*features, "n").mapInPandas(place, f"{numbers}, n long, _leaf long"), "placed")
+    counts = {r["_leaf"]: r["count"] for r in placed.groupBy("_leaf").count().collect()}  # a row a box
+    chunks = {box: -(-n // chunk) for box, n in counts.items()}
+    per_box = F.create_map(*[F.lit(v) for box, n in chunks.items() for v in (box, n)]) if chunks else F.create_map(F.lit(0), F.lit(1))
+    placed = placed.withColumn("_chunk", F.pmod(F.xxhash64(*features), per_box[F.col("_leaf")].cast("bigint")))
     found = [f"_near_{f}" for f in features]
-    rows = f"{numbers}, _leaf long, _home boolean, _d double, {', '.join(f'`{f}` double' for f in found)}, _n long"
+    rows = f"{numbers}, _leaf long, _chunk long, _home boolean, _d double, {', '.join(f'`{f}` double' for f in found)}, _n long"
 
-    def table(asking: np.ndarray, leaf_: np.ndarray | int, home: bool, d: np.ndarray, near: np.ndarray, n: np.ndarray | int) -> pd.DataFrame:
-        columns = dict(zip(features, asking.T, strict=True)) | {"_leaf": leaf_, "_home": home, "_d": d} | dict(zip(found, near.T, strict=True))
-        return pd.DataFrame(columns | {"_n": n})
+    def table(points: np.ndarray, leaf_, chunk_, home: bool, d: np.ndarray, near: np.ndarray, n: np.ndarray | int) -> pd.DataFrame:
+        columns = dict(zip(features, points.T, strict=True)) | {"_leaf": leaf_, "_chunk": chunk_, "_home": home, "_d": d}
+        return pd.DataFrame(columns | dict(zip(found, near.T, strict=True)) | {"_n": n})
 
-    def answers(asking: np.ndarray, frame: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
+    def answers(those: np.ndarray, frame: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
         """Rows of the nearest of ``frame``, and the distance that bounds the k-th nearest of all."""
         near, copies = frame[features].to_numpy(float), frame["n"].to_numpy()
-        reach, of, places, far = np.full(len(asking), np.inf), [], [], []
-        for i, distances, at in _nearest(asking, near, k):
-            if len(distances) == k:
-                reach[i] = distances[-1]
-            of.append(np.full(len(at), i))
-            places.append(at)
-            far.append(distances)
-        i, p = (np.concatenate([np.zeros(0, np.int64), *parts]) for parts in (of, places))
-        return table(asking[i], frame["_leaf"].iloc[0], True, np.concatenate([np.zeros(0), *far]), near[p], copies[p]), reach
-
-    def own_box(frame: pd.DataFrame) -> pd.DataFrame:
-        """Answers of the own box, and a row without an answer for every other box to ask."""
-        asking = frame.loc[frame["n"] <= k, features].to_numpy(float)
-        out, reach = answers(asking, frame)
-        i, other = shared.value.within(asking, reach)
-        i, other = i[other != frame["_leaf"].iloc[0]], other[other != frame["_leaf"].iloc[0]]
-        return pd.concat([out, table(asking[i], other, False, reach[i], np.full((len(i), len(features)), np.nan), 0)])
-
-    def other_box(asking: pd.DataFrame, frame: pd.DataFrame) -> pd.DataFrame:
-        if not len(asking) or not len(frame):
+        best = search(those, near, k, leaf)
+        i, at, d = best
+        return table(those[i], frame["_leaf"].iloc[0], frame["_chunk"].iloc[0], True, d, near[at], copies[at]), _reach(len(those), best, k)
+
+    def own_chunk(frame: pd.DataFrame) -> pd.DataFrame:
+        """Answers of the own chunk, and a row without an answer for every other chunk to ask."""
+        those = frame.loc[frame["n"] <= k, features].to_numpy(float)
+        out, reach = answers(those, frame)
+        i, box = shared.value.within(those, reach)
+        known = np.isin(box, list(chunks))
+        i, box = i[known], box[known]
+        of_box = np.array([chunks[b] for b in box.tolist()], np.int64)
+        part = np.arange(of_box.sum()) - np.repeat(np.cumsum(of_box) - of_box, of_box)
+        i, box = np.repeat(i, of_box), np.repeat(box, of_box)
+        other = (box != frame["_leaf"].iloc[0]) | (part != frame["_chunk"].iloc[0])
+        i, box, part = i[other], box[other], part[other]
+        return pd.concat([out, table(those[i], box, part, False, reach[i], np.full((len(i), len(features)), np.nan), 0)])
+
+    def other_chunk(those: pd.DataFrame, frame: pd.DataFrame) -> pd.DataFrame:
+        if not len(those) or not len(frame):
             none = np.zeros((0, len(features)))
-            return table(none, none[:, 0], True, none[:, 0], none, none[:, 0])
-        return answers(asking[features].to_numpy(float), frame)[0]
-
-    first = materialize(placed.groupBy("_leaf").applyInPandas(own_box, rows), "own-box")
-    salt = F.pmod(F.xxhash64(*features), F.lit(SALT))
-    asked = first.where("NOT _home").withColumn("_salt", salt)
-    copies = placed.withColumn("_salt", F.explode(F.array(*[F.lit(s).cast("long") for s in range(SALT)])))
-    second = asked.groupBy("_leaf", "_salt").cogroup(copies.groupBy("_leaf", "_salt")).applyInPandas(other_box, rows)
+            return table(none, none[:, 0], none[:, 0], True, none[:, 0], none, none[:, 0])
+        return answers(those[features].to_numpy(float), frame)[0]
+
+    first = materialize(placed.groupBy("_leaf", "_chunk").applyInPandas(own_chunk, rows), "own-chunk")
+    asked = first.where("NOT _home")
+    # A chunk that many points ask is read by as many tasks as their number needs.
+    salts = asked.groupBy("_leaf", "_chunk").agg(F.ceil(F.count(F.lit(1)) / F.lit(asking)).alias("_salts"))
+    salts = materialize(salts, "salts")
+    keys = ["_leaf", "_chunk"]
+    salted = asked.join(salts, keys).withColumn("_salt", F.pmod(F.xxhash64(*features), F.col("_salts"))).drop("_salts")
+    copies = placed.join(salts, keys).withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_salts") - 1))).drop("_salts")
+    second = salted.groupBy(*keys, "_salt").cogroup(copies.groupBy(*keys, "_salt")).applyInPandas(other_chunk, rows)
     point = F.struct(*[F.col(near).alias(f) for f, near in zip(features, found, strict=True)])
     every = first.where("_home").unionByName(second)
     every = every.select(*features, F.struct(F.col("_d").alias("d"), point.alias("point"), F.col("_n").alias("n")).alias("_found"))

@@ -37,6 +37,42 @@ def split_rows_exactly(
     return df.withColumn(out, F.when(in_test, "test").otherwise("train"))
 
 
+def stratified_parts(
+    df: DataFrame,
+    by: Sequence[str],
+    *,
+    label: str = "label",
+    labels: Sequence = (0, 1),
+    test_share: float = TEST_SHARE,
+    folds: int = 5,
+    seed: int = SEED,
+) -> DataFrame:
+    """Add ``part`` ('test' or 'train') and, for training rows, ``fold``, both with the same share of every label.
+
+    Within a label, rows are ranked by a hash of ``by``: the first ranks are the
+    test part, the others the folds in turn.  Only the hashes at the cuts are
+    wanted, which are quantiles, so no row is sorted or moved.  Where ``by``
+    tells rows apart, parts of a label have their exact size and folds differ
+    by one row at most; rows that agree in ``by`` stay together.  ``df`` is read
+    several times.  Rows without a label are training rows without a fold.
+    """
+    levels = [test_share + (1 - test_share) * k / folds for k in range(folds)]
+    hashed = df.withColumn("_h", hash_fraction(*by, seed=seed, digits=13))
+    names = [f"_h{i}" for i in range(len(labels))]
+    cuts = exact_quantiles(hashed.select(*[F.when(F.col(label) == v, F.col("_h")).alias(n) for n, v in zip(names, labels)]), names, levels)
+    part, fold = F.lit("train"), F.lit(None).cast("int")
+    for name, value in zip(names, labels):
+        first, *others = cuts[name]
+        if first is None:
+            continue
+        own, above = F.col(label) == value, F.lit(0)
+        for cut in others:
+            above = above + F.when(F.col("_h") >= F.lit(cut), 1).otherwise(0)
+        part = F.when(own & (F.col("_h") < F.lit(first)), "test").otherwise(part)
+        fold = F.when(own & (F.col("_h") >= F.lit(first)), above).otherwise(fold)
+    return hashed.withColumns({"part": part, "fold": fold.cast("int")}).drop("_h")
+
+
 def add_fold(df: DataFrame, by: Sequence[str], *, folds: int = 5, seed: int = SEED, out: str = "fold") -> DataFrame:
     """Fold number by hash; every label falls evenly on the folds in expectation."""
     return df.withColumn(out, F.floor(hash_fraction(*by, seed=f"{seed}-fold") * folds).cast("int"))

@@ -8,12 +8,14 @@ the counts works on a table of a few rows per column.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorespark.functions.columns import count_if
-from scorespark.operators.binning import MOST_CATEGORIES, QuantileBins, categorical_bin_columns
+from scorespark.operators.binning import MOST_CATEGORIES, QuantileBins, SegmentBins, categorical_bin_columns
 
 SMOOTHING = 0.5
 NO_BINS = "variable string, bin_id int, lower double, upper double, label string, good bigint, bad bigint, total bigint"
@@ -30,7 +32,7 @@ def _label_counts(label: str, good: str, bad: str) -> list[Column]:
 
 def numeric_counts(
     df: DataFrame,
-    bins: QuantileBins,
+    bins: QuantileBins | SegmentBins,
     *,
     label: str = "risk_label",
     good: str = "Good",
@@ -44,18 +46,17 @@ def numeric_counts(
     small integers and reduced to (variable, bin) inside its own task.
     """
     spark = df.sparkSession
-    binned = [c for c, e in bins.edges.items() if len(e) >= 2]
+    keys, binned = list(dict.fromkeys([*bins.by, *by])), bins.binned
     if not binned:
-        return spark.createDataFrame([], NO_BINS)
-    keys = list(by)
+        return spark.createDataFrame([], ", ".join([*(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys), NO_BINS]))
     wide = df.where(F.col(label).isNotNull()).select(
         *keys, F.col(label).alias("_y"), *[bins.assign(c).alias(c) for c in binned]
     )
     long = wide.unpivot([*keys, "_y"], binned, "variable", "bin_id").where(F.col("bin_id").isNotNull())
     counted = long.groupBy(*keys, "variable", "bin_id").agg(*_label_counts("_y", good, bad))
-    edges = F.broadcast(bins.table(spark))  # n_bins rows per column
+    edges = F.broadcast(bins.table(spark))  # n_bins rows per column and segment
     how = "right" if include_empty and not keys else "inner"
-    joined = counted.join(edges, ["variable", "bin_id"], how)
+    joined = counted.join(edges, [*bins.by, "variable", "bin_id"], how)
     return joined.select(
         *keys, "variable", "bin_id", "lower", "upper", "label",
         *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in ("good", "bad", "total")],
@@ -144,19 +145,67 @@ def iv_strength(iv: DataFrame) -> DataFrame:
     return iv.withColumn("strength", F.coalesce(strength, F.lit("unspecified")))
 
 
-def woe_transform(df: DataFrame, woe: DataFrame, bins: QuantileBins | None = None, *, suffix: str = "_woe") -> DataFrame:
-    """Add the weight of evidence of each binned column.
+@dataclass(frozen=True)
+class EvidenceEncoder:
+    """Every binned variable with its edges (numbers) or values (texts) and the evidence of each bin.
 
-    ``woe`` has a few rows per variable, so its values become literals and no
-    join is needed.  A value outside every bin gets NULL.
+    A handful of literals a variable, so replacing values needs no join and runs
+    the same way over tables and streams.  ``stage`` is a step that Spark saves
+    and loads with the model that uses it.
     """
-    evidence: dict[str, list] = {}
-    for r in woe.select("variable", "bin_id", "label", "woe").collect():
-        evidence.setdefault(r["variable"], []).append((r["bin_id"], r["label"], r["woe"]))
-    added = {}
-    for variable, rows in evidence.items():
-        numeric = bins is not None and variable in bins.edges
-        key = bins.assign(variable) if numeric else F.col(variable)
-        pairs = [F.lit(x) for bin_id, text, w in sorted(rows) for x in (bin_id if numeric else text, w)]
-        added[variable + suffix] = F.try_element_at(F.create_map(*pairs), key)
-    return df.withColumns(added)
+
+    edges: dict[str, list[float]]
+    numeric: dict[str, dict[int, float]]
+    categorical: dict[str, dict[str, float]]
+    suffix: str = "_woe"
+
+    @classmethod
+    def fit(cls, numeric: DataFrame, categorical: DataFrame, bins: QuantileBins, *, suffix: str = "_woe") -> EvidenceEncoder:
+        """From evidence tables, which have a few rows a variable."""
+        own: dict[str, dict[int, float]] = {}
+        for r in numeric.select("variable", "bin_id", "woe").collect():
+            own.setdefault(r["variable"], {})[r["bin_id"]] = r["woe"]
+        texts: dict[str, dict[str, float]] = {}
+        for r in categorical.select("variable", "label", "woe").collect():
+            texts.setdefault(r["variable"], {})[r["label"]] = r["woe"]
+        return cls({v: bins.edges[v] for v in own}, own, texts, suffix)
+
+    @property
+    def variables(self) -> list[str]:
+        return sorted([*self.numeric, *self.categorical])
+
+    @property
+    def outputs(self) -> list[str]:
+        return [v + self.suffix for v in self.variables]
+
+    def _sql(self, variable: str) -> str:
+        if variable in self.numeric:
+            edges, found = self.edges[variable], self.numeric[variable]
+            x = f"try_cast(`{variable}` AS DOUBLE)"
+            steps = [f"WHEN {x} <= {e!r}D THEN {_number(found.get(i + 1))}" for i, e in enumerate(edges[1:])]
+            return f"CASE WHEN {x} IS NULL OR {x} < {edges[0]!r}D THEN NULL {' '.join(steps)} END"
+        steps = " ".join(f"WHEN {_text(value)} THEN {_number(w)}" for value, w in sorted(self.categorical[variable].items()))
+        return f"CASE CAST(`{variable}` AS STRING) {steps} END"
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add the evidence of each variable; NULL for values outside every bin."""
+        return df.withColumns({v + self.suffix: F.expr(self._sql(v)) for v in self.variables})
+
+    def stage(self) -> SQLTransformer:
+        added = ", ".join(f"{self._sql(v)} AS `{v}{self.suffix}`" for v in self.variables)
+        return SQLTransformer(statement=f"SELECT *, {added} FROM __THIS__")
+
+
+def _number(x: float | None) -> str:
+    return "CAST(NULL AS DOUBLE)" if x is None else f"{float(x)!r}D"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def woe_transform(df: DataFrame, woe: DataFrame, bins: QuantileBins | None = None, *, suffix: str = "_woe") -> DataFrame:
+    """Add the weight of evidence of each variable of the table ``woe``; those in ``bins`` are numbers."""
+    numbers = [v for v in bins.binned] if bins is not None else []
+    own, texts = woe.where(F.col("variable").isin(numbers)), woe.where(~F.col("variable").isin(numbers))
+    return EvidenceEncoder.fit(own, texts, bins or QuantileBins({}), suffix=suffix).transform(df)

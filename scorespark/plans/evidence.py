@@ -6,11 +6,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from scorespark.functions.columns import numeric_columns
 from scorespark.operators import woe
-from scorespark.operators.binning import QuantileBins
+from scorespark.operators.binning import QuantileBins, SegmentBins
 from scorespark.plans.training import label_transactions
 from scorespark.session import materialize
 
@@ -36,6 +40,11 @@ class Evidence:
     def bins(self) -> QuantileBins:
         return QuantileBins.fit(self.rows, self.numeric_names, n_bins=self.n_bins)
 
+    @cached_property
+    def encoder(self) -> woe.EvidenceEncoder:
+        """Replaces every variable by its evidence."""
+        return woe.EvidenceEncoder.fit(self.numeric, self.categorical, self.bins)
+
     @cached_property
     def numeric(self) -> DataFrame:
         return woe.woe_table(woe.numeric_counts(self.rows, self.bins, good=self.good, bad=self.bad))
@@ -60,3 +69,37 @@ def build_evidence(
 ) -> Evidence:
     """Nothing runs until a table is asked for."""
     return Evidence(labelled, numeric_columns(labelled, ignore), ignore, n_bins, good, bad)
+
+
+def segment_evidence(
+    labelled: DataFrame, segment: str, *, ignore: Sequence[str] = NOT_BINNED, n_bins: int = 5, good: str = "Good", bad: str = "Bad"
+) -> DataFrame:
+    """Evidence of all variables in each segment, with the segment's own edges; ``information_value(..., by=[segment])`` sums it up."""
+    names = numeric_columns(labelled, [*ignore, segment])
+    bins = SegmentBins.fit(labelled, names, segment=segment, n_bins=n_bins)
+    numeric = woe.numeric_counts(labelled, bins, good=good, bad=bad)
+    categorical = woe.categorical_counts(labelled, ignore=[*ignore, segment], by=[segment], good=good, bad=bad)
+    return woe.woe_table(numeric.unionByName(categorical), by=[segment])
+
+
+def fit_scorecard(e: Evidence, *, label: str = "risk_label", c: float = 1.0) -> PipelineModel:
+    """Logistic regression on the evidence of all variables, from row to label, as one model to save.
+
+    Rows with equal evidence are one weighted row.  Values outside every bin
+    count as evidence 0.
+    """
+    encoder = e.encoder
+    filled = SQLTransformer(statement="SELECT *, " + ", ".join(f"coalesce(`{o}`, 0.0D) AS `_x_{o}`" for o in encoder.outputs) + " FROM __THIS__")
+    inputs = [f"_x_{o}" for o in encoder.outputs]
+    vector = VectorAssembler(inputCols=inputs, outputCol="evidence")
+    steps = PipelineModel([encoder.stage(), filled, vector])
+    known = e.rows.where(F.col(label).isin(e.good, e.bad))
+    rows = PipelineModel([encoder.stage(), filled]).transform(known).withColumn("_y", F.when(F.col(label) == e.good, 1.0).otherwise(0.0))
+    points = materialize(rows.groupBy(*inputs, "_y").agg(F.count(F.lit(1)).cast("double").alias("_n")), "evidence-points")
+    total = points.agg(F.sum("_n")).first()[0]
+    learner = LogisticRegression(
+        featuresCol="evidence", labelCol="_y", weightCol="_n", regParam=1.0 / (c * total), standardization=False, probabilityCol="_p", rawPredictionCol="_raw"
+    )
+    model = learner.fit(vector.transform(points))
+    outcome = SQLTransformer(statement=f"SELECT *, CASE WHEN prediction = 1 THEN '{e.good}' ELSE '{e.bad}' END AS predicted_label FROM __THIS__")
+    return PipelineModel([*steps.stages, model, outcome])
