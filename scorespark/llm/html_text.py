@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,13 +43,15 @@ IMPLIED = {
 ENDS_PARAGRAPH = BLOCKS - frozenset("body html option optgroup caption thead tbody tfoot tr legend".split())
 PARAGRAPH_SCOPE = frozenset("table td th caption button object template".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'=<>`]+))?")
 SPACE = re.compile(r"[ \t\n\f\r]+")
-HIDING_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
 HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
 SIMPLE_SELECTOR = re.compile(r"[A-Za-z][\w-]*|[.#][\w-]+")
+NAME_REST = re.compile(r"[^\s/>]*")
+TAG_START = re.compile(r"</?[A-Za-z]|<[!?]")
 GAP = "  "
+SAME_FORMATTING = 3  # as many equal formatting elements go on behind an implied end, as in browsers
 
 
 @dataclass
@@ -61,23 +66,39 @@ class Box:
     """Lines of text under way; a gap of two is a line break, of more a blank line too."""
 
     lines: list[str] = field(default_factory=list)
-    open_: str = ""
+    parts: list[str] = field(default_factory=list)  # of the line under way
     space: bool = False
     blank: bool = False
     indents: list[int] = field(default_factory=list)
+    indent: int = 0
     marker: str = ""
 
     def word(self, text: str, before: bool, after: bool) -> None:
         if text:
-            self.open_ += (" " if (before or self.space) and self.open_ else "") + text
+            self.add((" " if (before or self.space) and self.parts else "") + text)
             self.space = after
         else:
             self.space = self.space or before
 
+    def add(self, text: str) -> None:
+        if text:
+            self.parts.append(text)
+
+    def take(self) -> str:
+        line = "".join(self.parts)
+        self.parts = []
+        return line
+
+    def shift(self, columns: int) -> None:
+        self.indents.append(columns)
+        self.indent += columns
+
+    def unshift(self) -> None:
+        self.indent -= self.indents.pop()
+
     def break_(self, blank: bool = False) -> None:
-        if self.open_:
-            self.put(self.open_)
-            self.open_ = ""
+        if self.parts:
+            self.put(self.take())
         self.space = False
         self.blank = self.blank or blank
 
@@ -85,7 +106,7 @@ class Box:
         if self.blank and self.lines:
             self.lines.append("")
         self.blank = False
-        indent = sum(self.indents)
+        indent = self.indent
         if self.marker and indent >= len(self.marker):
             self.lines.append(" " * (indent - len(self.marker)) + self.marker + line)
         else:
@@ -104,17 +125,29 @@ class Table:
     rows: list[list[tuple[list[str], int, int]]] = field(default_factory=list)
 
     def lines(self) -> list[str]:
-        """Cells of one column start at one place; a cell over several columns sets no width."""
-        placed, taken = [], {}
+        """Cells of one column start at one place; a cell over several columns sets no width.
+
+        What rows above hold of a row is kept as spans of columns, so a cell
+        costs the same however far it reaches.
+        """
+        placed, reaching = [], []  # reaching: (first column, column behind, row behind) of cells over several rows
         for r, row in enumerate(self.rows):
-            column, cells = 0, []
+            reaching = [x for x in reaching if x[2] > r]
+            taken: list[list[int]] = []
+            for low, high, _ in sorted(reaching):
+                if taken and low <= taken[-1][1]:
+                    taken[-1][1] = max(taken[-1][1], high)
+                else:
+                    taken.append([low, high])
+            column, k, cells = 0, 0, []
             for lines, across, down in row:
-                while taken.get((r, column)):
-                    column += 1
+                while k < len(taken) and taken[k][1] <= column:
+                    k += 1
+                if k < len(taken) and taken[k][0] <= column:
+                    column = taken[k][1]
                 cells.append((column, across, lines))
-                for d in range(1, min(down, len(self.rows) - r)):
-                    for a in range(across):
-                        taken[r + d, column + a] = True
+                if down > 1:
+                    reaching.append((column, column + across, r + down))
                 column += across
             placed.append(cells)
         widths: dict[int, int] = {}
@@ -122,19 +155,21 @@ class Table:
             for column, across, lines in cells:
                 if across == 1:
                     widths[column] = max(widths.get(column, 0), *map(len, lines or [""]))
-        starts, at = {}, 0
-        for column in range(1 + max((c + a for cells in placed for c, a, _ in cells), default=0)):
-            starts[column] = at
-            at += widths.get(column, 0) + (len(GAP) if column in widths else 0)
+        columns = sorted(widths)
+        ends = [0, *accumulate(widths[c] + len(GAP) for c in columns)]
         out = []
         for cells in placed:
-            for k in range(max((len(lines) for _, _, lines in cells), default=0)):
-                line = ""
-                for column, _, lines in cells:
-                    if k < len(lines) and lines[k]:
-                        line = line.ljust(starts[column]) if len(line) <= starts[column] else line + GAP
-                        line += lines[k]
-                out.append(line.rstrip())
+            live = [(ends[bisect_left(columns, column)], lines) for column, _, lines in cells]
+            k = 0
+            while live := [x for x in live if k < len(x[1])]:
+                parts, length = [], 0
+                for start, lines in live:
+                    if lines[k]:
+                        gap = start - length if length <= start else len(GAP)
+                        parts += [" " * gap, lines[k]]
+                        length += gap + len(lines[k])
+                out.append("".join(parts).rstrip())
+                k += 1
         return out
 
 
@@ -143,6 +178,7 @@ class Page:
 
     def __init__(self) -> None:
         self.open: list[Element] = []
+        self.at: dict[str, list[int]] = defaultdict(list)  # places of the open elements by name
         self.boxes = [Box()]
         self.tables: list[Table] = []
         self.numbers: list[int | None] = []
@@ -152,11 +188,11 @@ class Page:
     # ---- tree builder
 
     def start(self, name: str, attributes: dict[str, str]) -> None:
-        if name == "html" or name == "body" and any(e.name == "body" for e in self.open):
+        if name == "html" or name == "body" and self.at["body"]:
             return
-        if name not in HEAD_ONLY and name != "head":
+        if self.at["head"] and name not in HEAD_ONLY and name != "head":
             self._end_if_open({"head"}, frozenset())
-        if name in ENDS_PARAGRAPH:
+        if self.at["p"] and name in ENDS_PARAGRAPH:
             again = self._end_if_open({"p"}, PARAGRAPH_SCOPE)
         else:
             again = []
@@ -185,34 +221,48 @@ class Page:
             self.start("br", {})
             return
         scope = PARAGRAPH_SCOPE if name not in ("td", "th", "tr", "table", "thead", "tbody", "tfoot", "caption") else frozenset(["table"])
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k].name == name:
-                cut = [e for e in self.open[k + 1 :] if e.name in FORMATTING] if name in BLOCKS or name in FORMATTING else []
-                while len(self.open) > k:
-                    self._pop()
-                for e in cut:
-                    self._push(e.name, e.attributes)
-                return
-            if self.open[k].name in scope or name in FORMATTING and self.open[k].name in BLOCKS and self.open[k].name in PARAGRAPH_SCOPE:
-                return
+        k = self._innermost([name])
+        if k < 0 or self._innermost(scope) > k:
+            return
+        cut = self._cut(k) if name in BLOCKS or name in FORMATTING else []
+        while len(self.open) > k:
+            self._pop()
+        for e in cut:
+            self._push(e.name, e.attributes)
+
+    def _innermost(self, names: Iterable[str]) -> int:
+        """Place of the innermost open element of ``names``, -1 if there is none."""
+        place = -1
+        for n in names:
+            at = self.at.get(n)
+            if at and at[-1] > place:
+                place = at[-1]
+        return place
 
     def _inside(self, name: str) -> bool:
-        for e in reversed(self.open):
-            if e.name in (name, "table"):
-                return e.name == name
-        return False
-
-    def _end_if_open(self, names: frozenset | set, scope: frozenset) -> list[Element]:
+        return self._innermost([name]) > self._innermost(["table"])
+
+    def _cut(self, k: int) -> list[Element]:
+        """Formatting inside element ``k`` that goes on when it ends; of equal elements the innermost few."""
+        seen: Counter = Counter()
+        kept = []
+        for e in reversed(self.open[k + 1 :]):
+            if e.name in FORMATTING:
+                key = (e.name, tuple(e.attributes.items()))
+                seen[key] += 1
+                if seen[key] <= SAME_FORMATTING:
+                    kept.append(e)
+        return kept[::-1]
+
+    def _end_if_open(self, names: Iterable[str], scope: Iterable[str]) -> list[Element]:
         """End the innermost open element of ``names``; returns formatting that was open inside it."""
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k].name in names:
-                cut = [e for e in self.open[k + 1 :] if e.name in FORMATTING]
-                while len(self.open) > k:
-                    self._pop()
-                return cut
-            if self.open[k].name in scope:
-                break
-        return []
+        k = self._innermost(names)
+        if k < 0 or self._innermost(scope) > k:
+            return []  # most often: nothing to end
+        cut = self._cut(k)
+        while len(self.open) > k:
+            self._pop()
+        return cut
 
     def _hidden(self, name: str, attributes: dict[str, str]) -> bool:
         if self.open and self.open[-1].hidden or name in INVISIBLE or "hidden" in attributes:
@@ -230,20 +280,22 @@ class Page:
 
     def style(self, text: str) -> None:
         """Rules that hide what a plain name, class or id selects."""
-        for selectors, body in HIDING_RULE.findall(text):
-            if HIDES.search(body):
+        for rule in text.split("}")[:-1]:
+            *_, selectors, body = ["", *rule.split("{")]
+            if "{" in rule and HIDES.search(body):
                 self.hiding.update(s for s in map(str.strip, selectors.split(",")) if SIMPLE_SELECTOR.fullmatch(s))
 
     # ---- layout
 
     def _push(self, name: str, attributes: dict[str, str]) -> None:
         e = Element(name, attributes, self._hidden(name, attributes))
+        self.at[name].append(len(self.open))
         self.open.append(e)
         if e.hidden:
             return
         box = self.boxes[-1]
         if name == "br":
-            if box.open_:
+            if box.parts:
                 box.break_()
             elif box.lines:
                 box.put("")
@@ -268,13 +320,14 @@ class Page:
                 number = int(value) if re.fullmatch(r"-?\d{1,9}", value) else number
                 self.numbers[-1] = number + 1
             marker = "- " if number is None else f"{number}. "
-            box.indents.append(len(marker))
+            box.shift(len(marker))
             box.marker = marker
         elif name in ("blockquote", "dd"):
-            box.indents.append(4)
+            box.shift(4)
 
     def _pop(self) -> None:
         e = self.open.pop()
+        self.at[e.name].pop()
         if e.hidden:
             return
         name = e.name
@@ -296,7 +349,7 @@ class Page:
         elif name in ("li", "blockquote", "dd") and box.indents:
             if name == "li" and box.marker:
                 box.put("")
-            box.indents.pop()
+            box.unshift()
 
     def text(self, data: str) -> None:
         if self.open and (self.open[-1].hidden or self.open[-1].name == "details" and "open" not in self.open[-1].attributes):
@@ -304,14 +357,13 @@ class Page:
         box = self.boxes[-1]
         if "&" in data:
             data = unescape(data)
-        if any(e.name in ("pre", "textarea") for e in self.open):
+        if self.at["pre"] or self.at["textarea"]:
             lines = data.replace("\r\n", "\n").removeprefix("\n" if self.fresh else "").split("\n")
             self.fresh = False
             for k, line in enumerate(lines):
                 if k:
-                    box.put(box.open_)
-                    box.open_ = ""
-                box.open_ += line
+                    box.put(box.take())
+                box.add(line)
             return
         plain = SPACE.sub(" ", data)
         box.word(plain.strip(" "), plain[:1] == " ", plain[-1:] == " ")
@@ -323,11 +375,52 @@ class Page:
         return "\n".join(lines).strip("\n")
 
 
+class TagEnds:
+    """Where the tag that starts at a place ends, for all places of a text at once: its first > outside of quotes, -1 if none."""
+
+    def __init__(self, html: str):
+        self.special = [m.start() for m in re.finditer("[>\"']", html)]
+        following = {'"': len(self.special), "'": len(self.special)}  # the next mark of its kind, by number
+        self.ends = [-1] * (len(self.special) + 1)
+        for k in range(len(self.special) - 1, -1, -1):
+            c = html[self.special[k]]
+            if c == ">":
+                self.ends[k] = self.special[k]
+            else:
+                other = following[c]
+                self.ends[k] = self.ends[other + 1] if other < len(self.special) else -1
+                following[c] = k
+
+        self.last, self.html = html.rfind(">"), html
+        self.name = (0, 0)  # a stretch of text in which every name ends at its end
+
+    def may_end(self, at: int) -> bool:
+        """Whether a tag whose name goes on at ``at`` has an end."""
+        if at > self.last:
+            return False
+        if not self.name[0] <= at <= self.name[1]:
+            self.name = (at, NAME_REST.match(self.html, at).end())
+        return self.ends[bisect_left(self.special, self.name[1])] >= 0
+
+
+def _next_token(html: str, at: int, ends: list[TagEnds]) -> re.Match | None:
+    """The next comment, declaration or tag; ``ends`` is filled when a tag turns out to have no end, and asked from then on."""
+    while m := TAG_START.search(html, at):
+        is_tag = m[0][1] not in "!?"
+        if not is_tag or not ends or ends[0].may_end(m.end()):
+            if token := TOKEN.match(html, m.start()):
+                return token
+            if is_tag and not ends:
+                ends.append(TagEnds(html))
+        at = m.start() + 1
+    return None
+
+
 def page_text(html: str) -> str:
-    """Laid-out visible text; broken markup is mended as a browser would, with missing tags implied."""
-    page, at = Page(), 0
+    """Laid-out visible text; broken markup is mended as a browser would, with missing tags implied.  Takes time in proportion to the page."""
+    page, at, ends = Page(), 0, []
     while at < len(html):
-        m = TOKEN.search(html, at)
+        m = _next_token(html, at, ends)
         if not m:
             page.text(html[at:])
             break

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from html.parser import HTMLParser
@@ -125,6 +126,34 @@ def test_layout(html, text):
     assert page_text(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "limit"),
+    [
+        ("<div>" * 100_000, 15),
+        ("<a " * 350_000, 15),
+        ("<a \"" * 250_000, 15),
+        ("<a '" * 250_001 + ">", 15),
+        ("x<a" * 300_000, 15),
+        ("<style>" + "x" * 1_000_000, 15),
+        ("<style>" + "x{" * 500_000, 15),
+        ("<table>" + ("<tr>" + "<td rowspan=999 colspan=999>x" * 40) * 300, 30),
+        (("<b>" * 1000 + "<p>" * 1000) * 10, 15),
+        ("<p>" + "<i>w</i> " * 100_000, 30),
+        ("<p><table><tr><td>" + "<div>" * 100_000, 15),
+    ],
+)
+def test_long_pages_take_time_in_proportion(html, limit):
+    """Each took minutes or hours where a tag looked at all that is open, or behind it, or at all cells it spans."""
+    start = time.process_time()
+    page_text(html)
+    assert time.process_time() - start < limit
+
+
+def test_spans_keep_their_columns_free():
+    rows = "<tr><td rowspan=2>a<td>b<td rowspan=3 colspan=2>c<td>d<tr><td>e<td>f<tr><td>g<td>h<td>i"
+    assert page_text(f"<table>{rows}</table>") == "a  b  cd\n   e    f\ng  h    i"
+
+
 def test_visible_text_on_odd_rows(spark):
     rows = [(1, None, "u"), (None, "<p>x", "u"), (2, "<p>y", "u"), (2, "<p>y", "u")]
     pages = spark.createDataFrame(rows, "page_id long, html string, text string")
