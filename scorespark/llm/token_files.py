@@ -26,8 +26,12 @@ FILE_IDS = 1 << 25
 MAGIC = b"S8BTOKS1"
 FOOTER = struct.Struct("<QQQQQQ8s")  # blocks, documents, null names, ids, ids of a block, start of the index
 KEPT_PIECES = 300_000
+RANGE_CHARS = 64
 WORD_END = "</w>"  # fixed value: how the tokenizer marks ids that end a word
 # ASCII marks; the apostrophe is not among them, because the tokenizer has rules on letters after it.
+# Letters that may join their neighbours when composed or put in lower case, as a capital I with a dot does: only
+# Latin, Greek and Cyrillic letters are known to stay letters, so words with any other go to the tokenizer whole.
+UNSURE = "[\u0130\u0530-\U0010FFFF]"
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # fixed values
 
 
@@ -93,10 +97,11 @@ def word_pieces(words: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
     The tokenizer drops white space, never joins characters across it, and parts
     letters from marks, so a word of letters between marks has the ids of its
     marks, its letters and its marks.  It writes letters in lower case itself.
-    Any other word, one with a special token's brackets above all, is its middle piece whole.
+    Any other word is its middle piece whole: one with a special token's
+    brackets, and one with a letter that may become more than a letter.
     """
     body = pc.utf8_trim(words, characters=MARKS)
-    plain = pc.and_(pc.utf8_is_alpha(body), pc.invert(pc.match_substring(words, "<|")))
+    plain = pc.and_(pc.utf8_is_alpha(body), pc.invert(pc.or_(pc.match_substring(words, "<|"), pc.match_substring_regex(words, UNSURE))))
     empty = pa.scalar("")
     left = pc.binary_length(words).to_numpy() - pc.binary_length(pc.utf8_ltrim(words, characters=MARKS)).to_numpy()
     right = pc.binary_length(words).to_numpy() - pc.binary_length(pc.utf8_rtrim(words, characters=MARKS)).to_numpy()
@@ -230,7 +235,8 @@ def write_token_files(
     ids.  The returned table is stored: it names the files of the tasks that
     Spark counted.  Ids are integers.
 
-    Null ids come first; rows with equal ids follow each other by their text, null first.
+    Null ids come first; rows with equal ids follow each other by their text, null first, and are
+    dealt to several tasks by the first characters of it.
     Null and empty texts are the end id alone.  Other columns are not read; no
     rows give no files.
     """
@@ -256,7 +262,7 @@ def write_token_files(
             names = ["part", "number", "file", "n_docs", "n_ids"]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
 
-    ordered = docs.select(id_col, text_col).repartitionByRange(id_col).sortWithinPartitions(id_col, text_col)
+    ordered = docs.select(id_col, text_col).repartitionByRange(id_col, F.substring(text_col, 1, RANGE_CHARS)).sortWithinPartitions(id_col, text_col)
     return materialize(ordered.mapInArrow(write, "part long, number long, file string, n_docs long, n_ids long"), "token-files")
 
 
