@@ -18,7 +18,7 @@ from scorespark.session import materialize
 # whose substitutions stay within substitutions() of its length.
 MASKS = ((0, 1, 2, 4, 5, 6), (0, 4, 5, 7, 10, 11), (0, 2, 4, 5, 6, 7))
 WINDOW = 20
-MIN_WORDS = 7
+SEEDED_WORDS = 7  # shorter items are sought as they are
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"  # fixed values
 FILTER_BITS = 1 << 27
 PROBES = 3
@@ -26,7 +26,7 @@ PROBES = 3
 
 def substitutions(words: int) -> int:
     """How many words may differ in a window of so many."""
-    return 3 if words >= 20 else 2 if words >= 15 else 1 if words >= 14 else 0
+    return 3 if words >= 18 else 2 if words >= 15 else 1 if words >= 10 else 0
 
 
 def normal_words(texts: pa.StringArray) -> Words:
@@ -48,11 +48,10 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def seed_hashes(hashes: np.ndarray, starts: np.ndarray, mask: int) -> tuple[np.ndarray, np.ndarray]:
+def seed_hashes(hashes: np.ndarray, starts: np.ndarray, places: tuple[int, ...], salt: int) -> tuple[np.ndarray, np.ndarray]:
     """(places, seeds) of one mask over all words; places whose mask would leave the text are left out."""
-    places = MASKS[mask]
     n = max(0, len(hashes) - places[-1])
-    seed = np.full(n, mask + 1, np.uint64)
+    seed = np.full(n, salt, np.uint64)
     for k, place in enumerate(places):
         seed = _mixed(seed + hashes[place : place + n]) if k == 0 else (seed * np.uint64(0xD6E8FEB86659FD93)) + hashes[place : place + n]
     end = np.repeat(starts[1:], np.diff(starts))[:n]
@@ -60,8 +59,13 @@ def seed_hashes(hashes: np.ndarray, starts: np.ndarray, mask: int) -> tuple[np.n
     return at, _mixed(seed[at])
 
 
+def seed_masks(lengths: list[int]) -> list[tuple[tuple[int, ...], int]]:
+    """(places, salt) of the fixed masks, and of whole items for each of the short ``lengths``."""
+    return [*((places, k + 1) for k, places in enumerate(MASKS)), *((tuple(range(n)), 100 + n) for n in lengths)]
+
+
 def _test_seeds(benchmark: DataFrame, item_col: str, text_col: str, kind: str) -> DataFrame:
-    """(item, words, seeds, places) of every item with ``MIN_WORDS`` words or more."""
+    """(item, words, seeds, places) of every item with a word; an item of fewer than ``SEEDED_WORDS`` words is one seed."""
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in slices(batches, text_col):
@@ -69,9 +73,10 @@ def _test_seeds(benchmark: DataFrame, item_col: str, text_col: str, kind: str) -
             hashes, rows = word_hashes(words), []
             for item, a, b in zip(block.column(item_col), words.starts, words.starts[1:], strict=False):
                 own = hashes[a:b]
-                if len(own) < MIN_WORDS:
+                if not len(own):
                     continue
-                found = [seed_hashes(own, np.array([0, len(own)]), m) for m in range(len(MASKS))]
+                masks = seed_masks([len(own)])[len(MASKS) :] if len(own) < SEEDED_WORDS else seed_masks([])
+                found = [seed_hashes(own, np.array([0, len(own)]), *m) for m in masks]
                 places, values = (np.concatenate(x) for x in zip(*found, strict=True))
                 rows.append((item.as_py(), own.view(np.int64), values.view(np.int64), places.astype(np.int32)))
             types = (block.column(item_col).type, pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()))
@@ -99,7 +104,7 @@ def _seed_filter(seeds: DataFrame) -> tuple[int, bytes]:
     return bits, table.tobytes()
 
 
-def _segments(docs: DataFrame, id_col: str, text_col: str, bits: int, filter_bytes) -> DataFrame:
+def _segments(docs: DataFrame, id_col: str, text_col: str, bits: int, filter_bytes, masks: list) -> DataFrame:
     """(id, segment, base, words, seeds, places): stretches of documents around seeds that pass the filter.
 
     A stretch reaches one window beyond its seeds to either side, so that each
@@ -115,8 +120,8 @@ def _segments(docs: DataFrame, id_col: str, text_col: str, bits: int, filter_byt
             words = normal_words(text_array(block.column(text_col)))
             hashes = word_hashes(words)
             places, seeds = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-            for m in range(len(MASKS)):
-                at, value = seed_hashes(hashes, words.starts, m)
+            for mask in masks:
+                at, value = seed_hashes(hashes, words.starts, *mask)
                 for k in range(PROBES):
                     bit = (value >> np.uint64(12 * k)) & np.uint64(bits - 1)
                     hit = (table[(bit >> np.uint64(5)).astype(np.int64)] >> (bit & np.uint64(31)).astype(np.uint32)) & 1
@@ -175,9 +180,10 @@ def benchmark_overlaps(
 
     They share one if some window of 20 words of the item, or the whole of a
     shorter item, stands in the document with at most 3 words replaced (2 below
-    20 words, 1 at 14, none below 14).  covered_words counts the item's words in
-    such windows, substitutions is the smallest number of any.  Items of fewer
-    than 7 words are too short to tell a leak from chance and match nothing.
+    18 words, 1 below 15, none below 10): as many as the masks find in any case.
+    covered_words counts the item's words in such windows, substitutions is the
+    smallest number of any.  Items of fewer than 7 words are found by a hash of
+    the whole item; items without words match nothing.
 
     Test and training seeds meet in an equality join.  Before it, a filter of
     bounded size made from the test seeds removes nearly all training seeds
@@ -193,7 +199,8 @@ def benchmark_overlaps(
     seeds = tests.select("test", zipped).select("test", F.col("x.seeds").alias("seed"), F.col("x.places").alias("at"))
     bits, table = _seed_filter(seeds)
     shared = docs.sparkSession.sparkContext.broadcast(table)
-    segments = materialize(_segments(docs, id_col, text_col, bits, shared), "segments")
+    short = [r["n"] for r in tests.select(F.size("words").alias("n")).where(F.col("n") < SEEDED_WORDS).distinct().orderBy("n").collect()]  # six lengths at most
+    segments = materialize(_segments(docs, id_col, text_col, bits, shared, seed_masks(short)), "segments")
     hits = segments.select("segment", zipped).select("segment", F.col("x.seeds").alias("seed"), F.col("x.places").alias("place"))
     pairs = hits.join(seeds, "seed").select("segment", "test", (F.col("place") - F.col("at")).alias("shift")).distinct()
     ready = (

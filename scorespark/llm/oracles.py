@@ -49,11 +49,12 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_co
 FROM b
 """
 
-# The tilt of a source has the closed form target / size; the capped sources are the first ones
-# by size per weight, up to where the rest fits.
+# The tilt of a source by halving a bracket; the capped sources are the first ones by size per weight,
+# up to where the rest fits.
 ORACLES["op7_entropy_mix"] = r"""
 WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')) AS h FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
 ), w AS (
@@ -70,22 +71,33 @@ WITH d AS (
   SELECT level FROM c WHERE own >= level ORDER BY k LIMIT 1
 ), t AS (
   SELECT source, source_size, least(3.0::DOUBLE * source_size, weight * (SELECT level FROM v)) AS target FROM w
+), n AS (
+  SELECT source, size, count(*) AS n FROM d GROUP BY source, size
+), l AS (
+  SELECT source, sum(size * n)::DOUBLE / sum(n) AS unit, min(size) AS least, list({'x': size::DOUBLE, 'n': n::DOUBLE}) AS docs FROM n WHERE size > 0 GROUP BY source
+), b AS (
+  SELECT t.*, unit, list_reduce(list_transform(range(200), lambda k: [0.0::DOUBLE, 0.0::DOUBLE]),
+      lambda s, k: CASE WHEN list_sum(list_transform(docs, lambda y: y.n * y.x * exp(least(ln(3.0::DOUBLE), (s[1] + s[2]) / 2 * y.x / unit)))) < target
+        THEN [(s[1] + s[2]) / 2, s[2]] ELSE [s[1], (s[1] + s[2]) / 2] END, [-50.0::DOUBLE * unit / least, ln(3.0::DOUBLE) * unit / least]) AS bracket
+  FROM t LEFT JOIN l ON t.source IS NOT DISTINCT FROM l.source
 ), r AS (
-  SELECT *, CASE WHEN source_size > 0 THEN round(target / source_size, 9) ELSE 1 END AS rate FROM t
+  SELECT n.source, n.size, n.n, source_size, target,
+         CASE WHEN size = 0 OR unit IS NULL THEN 1000000 ELSE round(1000000 * exp(least(ln(3.0::DOUBLE), bracket[2] * size / unit))) END::BIGINT AS rate
+  FROM n JOIN b ON n.source IS NOT DISTINCT FROM b.source
+), f AS (
+  SELECT *, rate % 1000000 AS part, 500000 + coalesce(sum((rate % 1000000) * n) OVER (PARTITION BY source ORDER BY size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM r
 ), p AS (
-  SELECT d.doc_id, d.size, r.source_size, r.target, r.rate,
-         sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(d.doc_id::VARCHAR, '')), coalesce(d.doc_id::VARCHAR, ''), d.size
-                           ROWS UNBOUNDED PRECEDING) - d.size / 2 AS middle
-  FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
-), n AS (
-  SELECT *, (floor(rate) + CASE WHEN rate > floor(rate) AND middle <= (rate - floor(rate)) * source_size THEN 1 ELSE 0 END)::INTEGER AS copies
-  FROM p
+  SELECT doc_id, d.size, source_size, target, rate, part, start, row_number() OVER (PARTITION BY d.source, d.size ORDER BY h) AS rank
+  FROM d JOIN f ON d.size = f.size AND d.source IS NOT DISTINCT FROM f.source
+), q AS (
+  SELECT *, (rate // 1000000 + (start + rank * part) // 1000000 - (start + (rank - 1) * part) // 1000000)::INTEGER AS copies FROM p
 )
-SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM n
+SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM q
 """
 
-# Any window within the allowed substitutions holds five words in a row unchanged,
-# so runs of five equal words name every alignment that can qualify.
+# Any window within the allowed substitutions holds four words in a row unchanged, or all of a shorter item,
+# so runs of that many equal words name every alignment that can qualify.
 _WORDS = r"""list_filter(list_transform(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'),
       lambda x: regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                           '^[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+$', '', 'g')),
@@ -95,14 +107,16 @@ WITH d AS (
   SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents
 ), b AS (
   SELECT *, least(20, len(v)) AS size,
-         CASE WHEN len(v) >= 20 THEN 3 WHEN len(v) >= 15 THEN 2 WHEN len(v) >= 14 THEN 1 ELSE 0 END AS allowed
-  FROM (SELECT item_id, row_number() OVER () AS t, {_WORDS} AS v FROM benchmark) WHERE len(v) >= 7
+         CASE WHEN len(v) >= 18 THEN 3 WHEN len(v) >= 15 THEN 2 WHEN len(v) >= 10 THEN 1 ELSE 0 END AS allowed
+  FROM (SELECT item_id, row_number() OVER () AS t, {_WORDS} AS v FROM benchmark) WHERE len(v) >= 1
+), k AS (
+  SELECT DISTINCT least(4, len(v)) AS run FROM b
 ), dg AS (
-  SELECT r, i, w[i : i + 4] AS g FROM (SELECT r, w, unnest(generate_series(1, len(w) - 4)) AS i FROM d)
+  SELECT r, i, run, w[i : i + run - 1] AS g FROM (SELECT r, w, run, unnest(generate_series(1, len(w) - run + 1)) AS i FROM d, k)
 ), bg AS (
-  SELECT t, j, v[j : j + 4] AS g FROM (SELECT t, v, unnest(generate_series(1, len(v) - 4)) AS j FROM b)
+  SELECT t, j, run, v[j : j + run - 1] AS g FROM (SELECT t, v, least(4, len(v)) AS run, unnest(generate_series(1, len(v) - least(4, len(v)) + 1)) AS j FROM b)
 ), a AS (
-  SELECT DISTINCT r, t, i - j AS shift FROM dg JOIN bg USING (g)
+  SELECT DISTINCT r, t, i - j AS shift FROM dg JOIN bg USING (run, g)
 ), x AS (
   SELECT doc_id, item_id, w, v, size, allowed, shift,
          unnest(generate_series(greatest(1, 1 - shift), least(len(v), len(w) - shift) - size + 1)) AS k

@@ -65,6 +65,26 @@ def test_overlaps_tolerate_substitutions(spark, documents, odd):
     assert benchmark_overlaps(documents([]), benchmark).count() == 0 == benchmark_overlaps(docs, benchmark.limit(0)).count()
 
 
+def test_short_items_and_one_word_replaced(spark, documents):
+    """Ten words with one replaced, eighteen with three, and items of few words as they are."""
+    ten, eighteen = words(11, 10), words(12, 18)
+    around = " ".join(words(13, 30))
+    other = lambda item, places: " ".join("other" if k in places else w for k, w in enumerate(item))
+    rows = [
+        (1, f"{around} {other(ten, {4})} {around}"),
+        (2, f"{around} {other(ten, {2, 7})} {around}"),
+        (3, f"{around} {other(eighteen, {3, 8, 13})} {around}"),
+        (4, f"{around} {other(eighteen, {1, 5, 9, 13})} {around}"),
+        (5, f"{around} Four little short \"Words.\" {around}"),
+        (6, f"{around} four little words {around}"),
+        (7, "unique"),
+    ]
+    items = [(1, " ".join(ten)), (2, " ".join(eighteen)), (3, "four, little short words"), (4, "unique"), (5, " . ")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    out = {(r.doc_id, r.item_id): (r.item_words, r.covered_words, r.substitutions) for r in benchmark_overlaps(documents(rows), benchmark).collect()}
+    assert out == {(1, 1): (10, 10, 1), (3, 2): (18, 18, 3), (5, 3): (4, 4, 0), (7, 4): (1, 1, 0)}
+
+
 # ---- token files
 
 
@@ -92,6 +112,18 @@ def test_words_encode_as_whole_texts_do(text):
     assert ids.tolist() == (whole + [2]) * 2 and starts.tolist() == [0, len(whole) + 1, 2 * len(whole) + 2]
 
 
+def test_every_letter_next_to_marks_encodes_as_in_the_whole_text():
+    """Some letters become more than a letter in lower case or when composed, and then belong to the marks behind them."""
+    letters = [chr(i) for i in range(0x30000) if chr(i).isalpha()]
+    texts = [f"({c}a.) B{c}, '{c}'-{c}\u0307! x{c}" for c in letters] + ["ABİ. (DİYARBAKIRLİ) DENİZLİ, ANKARA."]
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    for k in range(0, len(texts), 30_000):
+        part = texts[k : k + 30_000]
+        ids, starts = token_ids(pa.array(part), TOKENIZER, 2)
+        for i, whole in enumerate(tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+            assert ids[starts[i] : starts[i + 1] - 1].tolist() == whole.ids, part[i]
+
+
 def test_token_file_keeps_documents_over_block_ends(tmp_path):
     writer = TokenWriter(f"file://{tmp_path}", block_ids=8)
     docs = [np.arange(n, dtype=np.uint32) * 7 for n in (0, 3, 20, 1, 8, 0)]
