@@ -407,6 +407,11 @@ ORACLES = {
         """SELECT CAST(dense_rank() OVER (ORDER BY transaction_id) - 1 AS INT) AS transaction_id,
         CAST(dense_rank() OVER (ORDER BY account_id) - 1 AS INT) AS account_id FROM transactions""",
     ),
+    "interaction_vectors": over(
+        "transactions",
+        """SELECT transaction_id, product_id, CAST((SELECT count(DISTINCT product_id) FROM transactions) AS INT) AS size,
+        CAST(dense_rank() OVER (ORDER BY product_id) - 1 AS INT) AS position, amount AS value FROM transactions""",
+    ),
     "feature_table": over(
         "dated aggregates",
         f""", joined AS (SELECT d.*, a.* EXCLUDE (customer_id) FROM dated d LEFT JOIN aggregates a USING (customer_id))
@@ -468,7 +473,7 @@ ORACLES = {
     "histogram_credit_debit": over("event_transactions", histogram("event_transactions", {"credit": log10_of("(-amount)"), "debit": log10_of("amount")}, 30)),
     "boxplot_stats": over(
         "event_transactions",
-        f""", signed AS (SELECT value, CASE WHEN amount < 0 THEN -amount END AS credit, CASE WHEN amount > 0 THEN amount END AS debit FROM event_transactions),
+        f""", signed AS (SELECT value, CASE WHEN amount < 0 THEN -amount END AS credit, CASE WHEN amount >= 0 THEN amount END AS debit FROM event_transactions),
         long AS ({stacked(('value', 'credit', 'debit'), 'signed')}),
         q AS (SELECT variable, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS q2, quantile_cont(x, 0.75) AS q3 FROM long GROUP BY variable),
         f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)

@@ -686,7 +686,7 @@ def histogram_credit_debit(spark, sf):
 @query
 def boxplot_stats(spark, sf):
     amount = F.col("amount")
-    rows = ev(spark, sf).withColumns({"credit": F.when(amount < 0, -amount), "debit": F.when(amount > 0, amount)})
+    rows = ev(spark, sf).withColumns({"credit": F.when(amount < 0, -amount), "debit": F.when(amount >= 0, amount)})
     return rounded(outliers.boxplot_stats(rows, "value", "credit", "debit"))
 
 
@@ -736,6 +736,13 @@ def interaction_terms(spark, sf):
     return crossed.select("transaction_id", "product_category", *[f"amount_x_{c}" for c in categories])
 
 
+@query
+def interaction_vectors(spark, sf):
+    rows = tx(spark, sf).select("transaction_id", "product_id", "amount")
+    crossed = features.interaction_vectors(rows, LabelEncoder.fit(rows, ["product_id"]), category="product_id")
+    return crossed.select("transaction_id", "product_id", "interaction.*")
+
+
 @query
 def accounts_per_customer(spark, sf):
     return features.accounts_per_customer(tx(spark, sf))

@@ -12,6 +12,7 @@ from scorespark.operators.joins import attach
 from scorespark.operators.rfms import rfms_measures
 from scorespark.schema import ID_COLUMNS
 
+# The columns of an account's sample.
 SAMPLE_COLUMNS = ("transaction_id", "account_id", "product_category", "amount", "value", "txn_ts")
 
 
@@ -174,6 +175,18 @@ def category_interactions(df: DataFrame, categories: Sequence[str], *, category:
     )
 
 
+def interaction_vectors(df: DataFrame, encoder, *, category: str = "product_category", number: str = "amount", out: str = "interaction") -> DataFrame:
+    """``number`` times the one-hot vector of ``category``, as a sparse vector: one entry a row, however many categories there are.
+
+    ``encoder`` holds the category's codes; an unseen category fails the job.
+    Rows without a category or a number get no vector.
+    """
+    coded = encoder.transform(df.withColumn("_text", F.col(category)), [category])
+    known = F.col(category).isNotNull() & F.col(number).isNotNull()
+    entry = F.struct(F.lit(encoder.sizes[category]).alias("size"), F.col(category).alias("position"), F.col(number).cast("double").alias("value"))
+    return coded.withColumn(out, F.when(known, entry)).withColumn(category, F.col("_text")).drop("_text")
+
+
 def accounts_per_customer(df: DataFrame, *, key: str = "customer_id", account: str = "account_id") -> DataFrame:
     """Distinct accounts and rows per customer.
 

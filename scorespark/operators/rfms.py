@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from scorespark.functions.columns import as_number
 
+# Weights of the four scores, and the share of customers up to the label's boundary.
 DEFAULT_WEIGHTS = (0.1, 0.2, 0.5, 0.2)
 LABEL_QUANTILE = 0.55
 

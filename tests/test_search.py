@@ -204,3 +204,26 @@ def test_versions_of_artefacts(spark):
     # What an interrupted save leaves is not seen.
     encoder.dictionary.write.parquet(f"{path}/versions/half/encoder")
     assert len(Artefacts.versions(spark, path)) == 2
+
+
+def test_interactions_are_sparse(spark):
+    from scorespark.operators.features import interaction_vectors
+
+    df = spark.createDataFrame([(1, "b", 2.5), (2, "a", -1.0), (3, None, 4.0), (4, "b", None)], "id long, kind string, x double")
+    out = interaction_vectors(df, LabelEncoder.fit(df, ["kind"]), category="kind", number="x").orderBy("id").collect()
+    assert [r["interaction"] and tuple(r["interaction"]) for r in out] == [(2, 1, 2.5), (2, 0, -1.0), None, None]
+    assert [r["kind"] for r in out] == ["b", "a", None, "b"]
+
+
+def test_feature_table_moments_equal_those_over_rows(spark, folder):
+    from scorespark.operators import features
+    from scorespark.plans.feature_table import build_feature_table
+    from scorespark.sources.views import transactions
+
+    rows = transactions(spark, folder)
+    made = build_feature_table(rows)
+    joined = features.with_customer_aggregates(features.drop_incomplete(features.add_date_parts(rows)))
+    want = Scaler.fit(joined, list(made.scaler.parameters)).parameters
+    for c, (mean, std) in made.scaler.parameters.items():
+        assert mean == pytest.approx(want[c][0], rel=1e-9) and std == pytest.approx(want[c][1], rel=1e-9, abs=1e-9)
+    assert made.rows.count() == joined.count()
