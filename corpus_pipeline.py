@@ -5,6 +5,9 @@ by name and passes on the rows it keeps whole, other columns included; the last
 one returns a row per written document.  An empty table passes through all of
 them.  Rows with a null doc_id can be named by no decision on documents, so the
 first three stages keep them; the mix copies them like others of their source.
+Rows that repeat a doc_id are one document to the first three stages: all of them
+go if the classifier or the benchmark rejects one, and one of them, whichever
+comes first, stays behind the near-duplicates.
 """
 
 from __future__ import annotations

@@ -199,9 +199,11 @@ def near_duplicates(
 
 
 def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **settings: int) -> DataFrame:
-    """The rows of ``docs`` whose id names their component; of rows that repeat an id, one stays.
+    """The rows of ``docs`` whose id names their component.
 
-    Rows with a null id stay, since nothing tells which of them to drop.
+    An id stands for one document: of rows that repeat it one stays, whichever
+    Spark meets first, even if their texts differ.  Rows with a null id stay,
+    since nothing tells which of them to drop.
     """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **settings)
     firsts = materialize(found.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct(), "firsts")
