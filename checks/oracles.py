@@ -492,6 +492,14 @@ ORACLES = {
         SELECT variable, axis, point, round(x, 8) AS x, round(sum(c * exp(-0.5 * ((x - v) / h) ** 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())) * any_value((hi - lo) / 49), 5) AS mass
         FROM grid JOIN merged USING (variable, axis) GROUP BY variable, axis, point, x""",
     ),
+    # The best of all cuts of the sorted scores.
+    "kmeans_1d_boundary": over(
+        "scored",
+        """, points AS (SELECT rfms_score AS x, count(*)::DOUBLE AS n FROM scored GROUP BY 1),
+        halves AS (SELECT sum(n) OVER w AS n1, sum(n * x) OVER w AS s1, sum(n) OVER () AS n2, sum(n * x) OVER () AS s2 FROM points WINDOW w AS (ORDER BY x)),
+        best AS (SELECT s1 / n1 AS a, (s2 - s1) / (n2 - n1) AS b FROM halves WHERE n1 < n2 ORDER BY s1 * s1 / n1 + (s2 - s1) * (s2 - s1) / (n2 - n1) DESC LIMIT 1)
+        SELECT round(a, 6) AS lower_centre, round(b, 6) AS upper_centre, round((a + b) / 2, 6) AS boundary FROM best""",
+    ),
     "score_scatter": over("scored", "SELECT rfms_score, monetary_score, count(*) AS n FROM scored GROUP BY 1, 2"),
     "account_flow_features": over(
         "transactions",

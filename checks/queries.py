@@ -652,7 +652,7 @@ def kmeans_2d(spark, sf):
 @query
 def kmeans_1d_boundary(spark, sf):
     row = clusters.cluster_boundary(scored(spark, sf))
-    return spark.createDataFrame([row], "lower_centre double, upper_centre double, boundary double")
+    return rounded(spark.createDataFrame([row], "lower_centre double, upper_centre double, boundary double"))
 
 
 @query

@@ -18,13 +18,19 @@ from scorespark.operators.scaling import Scaler
 from scorespark.session import materialize
 
 SEED = 42
+STARTS = 5
+POINTS_PER_PARTITION = 20_000
 
 
-def fit_clusters(df: DataFrame, columns: Sequence[str], *, k: int = 2, seed: int = SEED) -> KMeansModel:
+def fit_clusters(df: DataFrame, columns: Sequence[str], *, k: int = 2, seed: int = SEED, starts: int = STARTS) -> KMeansModel:
+    """The best by cost of several runs, each from its own start and until its centres rest: one run may end beside the best clusters."""
     points = df.dropna(subset=list(columns)).groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    vectors = _vectors(points, columns).select("features", "weight").persist()
+    stored = materialize(points, "points")
+    parts = max(1, -(-stored.count() // POINTS_PER_PARTITION))
+    vectors = _vectors(stored.repartition(parts, *columns), columns).select("features", "weight").persist()
     try:
-        return KMeans(k=k, seed=seed, weightCol="weight").fit(vectors)
+        models = [KMeans(k=k, seed=seed + i, weightCol="weight", maxIter=100, tol=1e-9).fit(vectors) for i in range(starts)]
+        return min(models, key=lambda m: m.summary.trainingCost)
     finally:
         vectors.unpersist()
 
