@@ -154,7 +154,7 @@ def artefact_roundtrip(spark, sf):
         Scaler.fit(rows, NUMBERS),
         LabelEncoder.fit(rows, texts),
         training.fit_scoring_model(data, max_depth=5),
-        binning.QuantileBins.fit(rows, NUMBERS),
+        binning.QuantileBins.fit(rows, NUMBERS, cut=False),
     )
     saved.save(spark, path)
     loaded = Artefacts.load(spark, path)
@@ -399,7 +399,7 @@ def categorical_bin_columns(spark, sf):
 
 def numeric_bins(spark, sf):
     rows = labelled(spark, sf)
-    return rows, binning.QuantileBins.fit(rows)
+    return rows, binning.QuantileBins.fit(rows, cut=False)
 
 
 @query

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorespark.functions.columns import as_number
+from scorespark.session import materialize
 
 SMALL_ROWS = 500_000
 SKETCH_SIZE = 2_000
@@ -176,22 +177,36 @@ def _finish(df: DataFrame, targets: list[_Target]) -> None:
                 t.value = row["x"]
 
 
+def stored_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as doubles ``x0``, ``x1``, ..., written once: for several passes over a plan that joins or shuffles."""
+    return materialize(df.select(*[as_number(c).alias(f"x{i}") for i, c in enumerate(columns)]), "numbers")
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
     *,
     small_rows: int = SMALL_ROWS,
+    cut: bool = True,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of several columns, NULL and NaN ignored.
 
     Only the quantiles themselves reach the driver.  Columns with at most
     ``small_rows`` values are answered by one ``percentile`` aggregate.
+
+    The search reads the columns several times, so they are stored first and
+    the plan of ``df`` runs once.  ``cut=False`` skips that for rows that are
+    already stored.
     """
     columns = list(dict.fromkeys(columns))
     probabilities = [float(p) for p in probabilities]
     if not columns:
         return {}
+    if cut:
+        names = [f"x{i}" for i in range(len(columns))]
+        found = exact_quantiles(stored_numbers(df, columns), names, probabilities, small_rows=small_rows, cut=False)
+        return {c: found[n] for c, n in zip(columns, names)}
     parts = (("n", lambda x: x), ("a", lambda x: F.when(x == -INFINITY, 1)), ("b", lambda x: F.when(x == INFINITY, 1)))
     sizes = df.agg(*[F.count(f(_number(c))).alias(f"{p}{i}") for i, c in enumerate(columns) for p, f in parts]).first()
     n = {c: sizes[f"n{i}"] for i, c in enumerate(columns)}

@@ -23,12 +23,13 @@ class QuantileBins:
     edges: dict[str, list[float]]
 
     @classmethod
-    def fit(cls, df: DataFrame, columns: Sequence[str] | None = None, *, n_bins: int = 5, ignore: Iterable[str] = ()) -> QuantileBins:
+    def fit(cls, df: DataFrame, columns: Sequence[str] | None = None, *, n_bins: int = 5, ignore: Iterable[str] = (), cut: bool = True) -> QuantileBins:
+        """``cut=False`` if the rows of ``df`` are already stored."""
         skip = set(ignore)
         columns = [c for c in (columns if columns is not None else numeric_columns(df)) if c not in skip]
         # Multiples of one step, as evenly spaced grids are computed: 3 * 0.2 is not 0.6, and
         # where a rank falls on a value exactly the last bit decides whether an edge is new.
-        found = exact_quantiles(df, columns, [*(i * (1.0 / n_bins) for i in range(n_bins)), 1.0])
+        found = exact_quantiles(df, columns, [*(i * (1.0 / n_bins) for i in range(n_bins)), 1.0], cut=cut)
         return cls({c: sorted({e for e in found[c] if e is not None}) for c in columns})
 
     @property
@@ -72,8 +73,8 @@ class SegmentBins:
     edges: dict[str, dict[str, list[float]]]
 
     @classmethod
-    def fit(cls, df: DataFrame, columns: Sequence[str], *, segment: str, n_bins: int = 5, most: int = MOST_SEGMENTS) -> SegmentBins:
-        """More than ``most`` segments are an error: their edges would no longer be a handful of literals."""
+    def fit(cls, df: DataFrame, columns: Sequence[str], *, segment: str, n_bins: int = 5, most: int = MOST_SEGMENTS, cut: bool = True) -> SegmentBins:
+        """``cut=False`` if the rows of ``df`` are already stored.  More than ``most`` segments are an error: their edges would no longer be a handful of literals."""
         found = df.where(F.col(segment).isNotNull()).select(F.col(segment).cast("string").alias("s")).distinct().limit(most + 1).collect()
         if len(found) > most:
             raise ValueError(f"{segment} has more than {most} values")
@@ -82,7 +83,7 @@ class SegmentBins:
         parts = [F.when(F.col(segment).cast("string") == s, as_number(c)).alias(n) for n, (s, c) in names.items()]
         edges: dict[str, dict[str, list[float]]] = {s: {} for s in segments}
         if names:
-            for n, own in QuantileBins.fit(df.select(*parts), list(names), n_bins=n_bins).edges.items():
+            for n, own in QuantileBins.fit(df.select(*parts), list(names), n_bins=n_bins, cut=cut).edges.items():
                 s, c = names[n]
                 edges[s][c] = own
         return cls(segment, edges)

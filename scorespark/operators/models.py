@@ -210,7 +210,7 @@ class TrainingSet:
         if balance not in BALANCES:
             raise ValueError(f"balance must be one of {BALANCES}, not {balance!r}")
         rows = materialize(labelled.select(*MODEL_FEATURES, "label", *[c for c in by if c not in (*MODEL_FEATURES, "label")]), "model-rows")
-        marked = split.stratified_parts(rows, by, test_share=test_share, folds=folds, seed=seed)
+        marked = split.stratified_parts(rows, by, test_share=test_share, folds=folds, seed=seed, cut=False)
         points = materialize(training_points(marked, by=("part", "fold")), "points")
         train = points.where(F.col("part") == "train")
         preparation = Preparation.fit(train)

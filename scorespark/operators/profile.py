@@ -16,7 +16,7 @@ from scorespark.functions.columns import (
     parse_timestamp,
     rows_from_wide,
 )
-from scorespark.functions.quantiles import exact_quantiles
+from scorespark.functions.quantiles import exact_quantiles, stored_numbers
 from scorespark.schema import ID_COLUMNS
 
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
@@ -41,16 +41,18 @@ def overview(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, *, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per numeric column.
 
-    The median is ``q50``.
+    The median is ``q50``.  The columns are stored once, for the quartiles and
+    the other numbers alike.
     """
     columns = list(columns if columns is not None else numeric_columns(df))
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+    numbers = stored_numbers(df, columns)
+    quartiles = exact_quantiles(numbers, numbers.columns, [0.25, 0.5, 0.75], cut=False)
     stats = (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))
-    wide = df.agg(*[f(as_number(c)).alias(f"{s}_{i}") for i, c in enumerate(columns) for s, f in stats])
+    wide = numbers.agg(*[f(F.col(x)).alias(f"{s}_{i}") for i, x in enumerate(numbers.columns) for s, f in stats])
     rows = []
     for i, c in enumerate(columns):
         entry = {"variable": F.lit(c), **{s: F.col(f"{s}_{i}") for s, _ in stats}}
-        entry.update({f"q{p}": F.lit(v).cast("double") for p, v in zip((25, 50, 75), quartiles[c])})
+        entry.update({f"q{p}": F.lit(v).cast("double") for p, v in zip((25, 50, 75), quartiles[f"x{i}"])})
         rows.append(entry)
     return rows_from_wide(wide, rows)
 

@@ -46,6 +46,7 @@ def stratified_parts(
     test_share: float = TEST_SHARE,
     folds: int = 5,
     seed: int = SEED,
+    cut: bool = True,
 ) -> DataFrame:
     """Add ``part`` ('test' or 'train') and, for training rows, ``fold``, both with the same share of every label.
 
@@ -53,13 +54,13 @@ def stratified_parts(
     test part, the others the folds in turn.  Only the hashes at the cuts are
     wanted, which are quantiles, so no row is sorted or moved.  Where ``by``
     tells rows apart, parts of a label have their exact size and folds differ
-    by one row at most; rows that agree in ``by`` stay together.  ``df`` is read
-    several times.  Rows without a label are training rows without a fold.
+    by one row at most; rows that agree in ``by`` stay together.  The hashes
+    are stored for the search; ``cut=False`` if ``df`` is.  Rows without a label are training rows without a fold.
     """
     levels = [test_share + (1 - test_share) * k / folds for k in range(folds)]
     hashed = df.withColumn("_h", hash_fraction(*by, seed=seed, digits=13))
     names = [f"_h{i}" for i in range(len(labels))]
-    cuts = exact_quantiles(hashed.select(*[F.when(F.col(label) == v, F.col("_h")).alias(n) for n, v in zip(names, labels)]), names, levels)
+    cuts = exact_quantiles(hashed.select(*[F.when(F.col(label) == v, F.col("_h")).alias(n) for n, v in zip(names, labels)]), names, levels, cut=cut)
     part, fold = F.lit("train"), F.lit(None).cast("int")
     for name, value in zip(names, labels):
         first, *others = cuts[name]

@@ -24,7 +24,7 @@ NOT_BINNED = ("transaction_id", "batch_id", "account_id", "subscription_id", "cu
 
 @dataclass
 class Evidence:
-    """Labelled rows and the binned tables over them; counts are per transaction.
+    """Labelled rows, stored, and the binned tables over them; counts are per transaction.
 
     The numeric and the categorical table are each made when first asked for.
     """
@@ -38,7 +38,7 @@ class Evidence:
 
     @cached_property
     def bins(self) -> QuantileBins:
-        return QuantileBins.fit(self.rows, self.numeric_names, n_bins=self.n_bins)
+        return QuantileBins.fit(self.rows, self.numeric_names, n_bins=self.n_bins, cut=False)
 
     @cached_property
     def encoder(self) -> woe.EvidenceEncoder:
@@ -76,7 +76,7 @@ def segment_evidence(
 ) -> DataFrame:
     """Evidence of all variables in each segment, with the segment's own edges; ``information_value(..., by=[segment])`` sums it up."""
     names = numeric_columns(labelled, [*ignore, segment])
-    bins = SegmentBins.fit(labelled, names, segment=segment, n_bins=n_bins)
+    bins = SegmentBins.fit(labelled, names, segment=segment, n_bins=n_bins, cut=False)
     numeric = woe.numeric_counts(labelled, bins, good=good, bad=bad)
     categorical = woe.categorical_counts(labelled, ignore=[*ignore, segment], by=[segment], good=good, bad=bad)
     return woe.woe_table(numeric.unionByName(categorical), by=[segment])

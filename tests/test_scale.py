@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from scorespark.functions.quantiles import exact_quantiles, quantile_table
 from scorespark.operators import features, profile
+from scorespark.operators.binning import QuantileBins
 from scorespark.operators.joins import attach
 from scorespark.operators.rfms import risk_labels
 from scorespark.sources.views import transactions
@@ -76,3 +78,26 @@ def test_no_python_in_plans(spark, folder):
     for name in ("risk_labels", "customer_aggregates_joined", "describe_numeric", "top_categories", "account_flow_features"):
         plan = plan_of(QUERIES[name](spark, folder))
         assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("query", ["describe", "bins", "quantiles", "search"])
+def test_quantiles_run_a_plan_once(spark, query):
+    n, read = 4000, spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    numbers = spark.range(0, n, 1, 4).select((F.col("id") * 37 % 1009).cast("double").alias("x"), F.col("id").alias("y"))
+    df = numbers.mapInArrow(counted, numbers.schema)
+    if query == "describe":
+        (row,) = profile.describe(df, columns=["x"]).collect()
+        assert (row["count"], row["q50"]) == (n, sorted(i * 37 % 1009 for i in range(n))[n // 2])
+    elif query == "bins":
+        assert QuantileBins.fit(df).edges["y"][0] == 0.0
+    elif query == "quantiles":
+        assert quantile_table(df, ["y"], [0.0, 1.0]).count() == 2
+    else:
+        assert exact_quantiles(df, ["y"], [0.0, 0.5, 1.0], small_rows=50) == {"y": [0.0, (n - 1) / 2, n - 1.0]}
+    assert read.value == n
