@@ -11,30 +11,41 @@ def numbered(name: str, number) -> F.Column:
 
 
 def transactions_from(lines: DataFrame, orders: DataFrame, parts: DataFrame) -> DataFrame:
-    """Order lines as transactions.  Works on a batch or a streaming ``lines``."""
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        parts, F.col("l_partkey") == F.col("p_partkey")
-    )
+    """Order lines as transactions.  Works on a batch or a streaming ``lines``.
+
+    Columns are computed from a line alone before the joins, so that the
+    shuffles carry numbers instead of texts.
+    """
     line = F.col("l_linenumber")
     hour = ((F.col("l_orderkey") * 7 + line) % 24).cast("int")
     price = F.col("l_extendedprice")
+    slim = lines.select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice",
+        (F.col("l_suppkey") % 6).alias("_supplier"),
+        F.coalesce(F.col("l_returnflag") == "R", F.lit(False)).alias("_returned"),
+        (F.col("l_shipdate") + F.make_dt_interval(hours=hour)).alias("_ts"),
+        F.coalesce((F.col("l_linestatus") == "O") & (F.col("l_quantity") >= 49), F.lit(False)).alias("_fraud"),
+    )
+    joined = slim.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+        parts, F.col("l_partkey") == F.col("p_partkey")
+    )
     return joined.select(
         numbered("TransactionId", F.col("l_orderkey") * 10 + line).alias("transaction_id"),
         numbered("BatchId", F.col("l_orderkey")).alias("batch_id"),
-        numbered("AccountId", F.col("o_custkey") * 10 + F.col("l_suppkey") % 3).alias("account_id"),
+        numbered("AccountId", F.col("o_custkey") * 10 + F.col("_supplier") % 3).alias("account_id"),
         numbered("SubscriptionId", F.col("o_custkey") * 10 + line % 2).alias("subscription_id"),
         numbered("CustomerId", F.col("o_custkey")).alias("customer_id"),
         F.lit("UGX").alias("currency_code"),
         F.lit(256).alias("country_code"),
-        numbered("ProviderId", F.col("l_suppkey") % 6 + 1).alias("provider_id"),
+        numbered("ProviderId", F.col("_supplier") + 1).alias("provider_id"),
         numbered("ProductId", F.col("l_partkey") % 23 + 1).alias("product_id"),
         F.col("p_type").alias("product_category"),
         F.concat(F.lit("ChannelId_"), F.substring("o_orderpriority", 1, 1)).alias("channel_id"),
-        F.when(F.col("l_returnflag") == "R", -price).otherwise(price).alias("amount"),
+        F.when(F.col("_returned"), -price).otherwise(price).alias("amount"),
         price.alias("value"),
-        (F.col("l_shipdate") + F.make_dt_interval(hours=hour)).alias("txn_ts"),
+        F.col("_ts").alias("txn_ts"),
         (line % 5).cast("int").alias("pricing_strategy"),
-        F.when((F.col("l_linestatus") == "O") & (F.col("l_quantity") >= 49), 1).otherwise(0).alias("fraud_result"),
+        F.when(F.col("_fraud"), 1).otherwise(0).alias("fraud_result"),
     )
 
 
