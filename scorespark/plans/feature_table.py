@@ -49,9 +49,11 @@ def build_feature_table(
     customers = materialize(complete.groupBy(key).agg(*features.amount_measures(), *moments, F.count(F.lit(1)).alias("_rows")), "customers")
     scaler = Scaler({**_pooled(customers, own), **Scaler.fit(customers, [c for c in scale if c in joined], weight="_rows").parameters})
     encoder = LabelEncoder.fit(complete, encode)
-    rows = attach(complete, customers.select(*aggregates), key, cut=False)
-    scaled = scaler.transform(rows)
-    return FeatureTable(encoder.transform(features.parse_id_columns(scaled), encode), scaler, encoder)
+    # Ids other than the key become numbers before the join, whose shuffle then carries no texts for them.
+    early = [c for c in ID_COLUMNS if c != key and c not in scale]
+    rows = attach(features.parse_id_columns(complete, columns=early), customers.select(*aggregates), key, cut=False)
+    late = [c for c in ID_COLUMNS if c not in early]
+    return FeatureTable(encoder.transform(features.parse_id_columns(scaler.transform(rows), columns=late), encode), scaler, encoder)
 
 
 def _pooled(groups: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
