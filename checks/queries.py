@@ -104,12 +104,13 @@ def model_set(spark: SparkSession, sf: str) -> models.TrainingSet:
 _SEARCHES: dict = {}
 
 
-def searched(spark: SparkSession, sf: str) -> tuple[models.TrainingSet, list[models.Trained], list[tuple[str, str, float]]]:
-    """Training set, the best setting of every learner with the best one's model, and all settings tried."""
+def searched(spark: SparkSession, sf: str) -> tuple[models.TrainingSet, list[models.Trained], list[tuple[str, str, float]], DataFrame]:
+    """Training set, the best setting of every learner with the best one's model, all settings tried, and the labelled rows behind them, stored."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _SEARCHES:
-        data = model_set(spark, sf)
-        _SEARCHES[key] = (data, *models.grid_search(data, refit="best"))
+        rows = labelled(spark, sf, *MODEL_COLUMNS)
+        data = models.TrainingSet.build(training.model_rows(rows, keep=ROW_KEY), by=ROW_KEY)
+        _SEARCHES[key] = (data, *models.grid_search(data, refit="best"), rows)
     return _SEARCHES[key]
 
 
@@ -137,7 +138,11 @@ def first_rows(spark, sf):
 @query
 def write_features(spark, sf):
     path = new_path(spark, "features")
-    table = features.with_customer_aggregates(features.add_date_parts(tx(spark, sf)))
+    joined = features.with_customer_aggregates(tx(spark, sf))
+    # The parts follow from the time: they are added behind the join's shuffle, and put before the aggregates.
+    aggregates = features.customer_aggregates(tx(spark, sf)).columns[1:]
+    dated = features.add_date_parts(joined)
+    table = dated.select(*[c for c in dated.columns if c not in aggregates], *aggregates)
     files.write_table(table, path, partition_by=("year", "month"))
     # Folder values are given their type here rather than guessed from the folder names.
     stored = spark.read.schema(table.schema).parquet(path)
@@ -565,13 +570,13 @@ def train_models(spark, sf):
 
 @query
 def grid_search(spark, sf):
-    _, _, tried = searched(spark, sf)
+    _, _, tried, _ = searched(spark, sf)
     return spark.createDataFrame(tried, "model string, settings string, accuracy double")
 
 
 @query
 def best_model(spark, sf):
-    data, best, _ = searched(spark, sf)
+    data, best, _, _ = searched(spark, sf)
     chosen = models.best_model(best)
     return models.evaluate(data, [chosen]).withColumn("cv_accuracy", F.lit(chosen.cv_accuracy))
 
@@ -579,10 +584,9 @@ def best_model(spark, sf):
 @query
 def winner_scoring(spark, sf):
     """The best model of the search as a stored version, loaded again, over all requests."""
-    data, best, _ = searched(spark, sf)
+    data, best, _, rows = searched(spark, sf)
     chosen = models.best_model(best)
     path = new_path(spark, "winner")
-    rows = labelled(spark, sf, *MODEL_COLUMNS)
     Artefacts(
         Scaler.fit(rows, MODEL_FEATURES[:3]), LabelEncoder.fit(rows, MODEL_FEATURES[3:]), models.scoring_model(data, chosen), settings=chosen.settings
     ).save(spark, path)
@@ -630,10 +634,11 @@ def batch_scoring(spark, sf):
 @query
 def stream_scoring(spark, sf):
     """New order lines as a stream, scored with their customer's stored scores."""
-    rows = labelled(spark, sf, *MODEL_COLUMNS)
+    scores = training.stored_scores(tx(spark, sf), as_of=AS_OF)
+    rows = evidence.labelled_rows(tx(spark, sf), as_of=AS_OF, columns=MODEL_COLUMNS, scores=scores)
     data = models.TrainingSet.build(training.model_rows(rows, keep=ROW_KEY), by=ROW_KEY)
     model = training.fit_scoring_model(data, max_depth=5)
-    known = materialize(scored(spark, sf).select("customer_id", "recency_score", "rfms_score"), "scores")
+    known = scores.select("customer_id", "recency_score", "rfms_score")
     tables = {n: spark.read.parquet(f"{sf}/{n}.parquet") for n in ("lineitem", "orders", "part")}
     arriving = spark.readStream.schema(tables["lineitem"].schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf)
     stream = views.transactions_from(arriving, tables["orders"], tables["part"]).join(known, "customer_id", "left")

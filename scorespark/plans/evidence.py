@@ -54,12 +54,12 @@ class Evidence:
         return woe.woe_table(woe.categorical_counts(self.rows, ignore=self.ignore, good=self.good, bad=self.bad))
 
 
-def labelled_rows(transactions: DataFrame, *, as_of=None, columns: Sequence[str] | None = None) -> DataFrame:
+def labelled_rows(transactions: DataFrame, *, as_of=None, columns: Sequence[str] | None = None, scores: DataFrame | None = None) -> DataFrame:
     """Labelled transactions, stored once because edges and counts each read them.
 
     Without ``columns`` everything but the identifying columns is stored.
     """
-    labelled = label_transactions(transactions, as_of=as_of)
+    labelled = label_transactions(transactions, as_of=as_of, scores=scores)
     keep = columns if columns is not None else [c for c in labelled.columns if c not in NOT_BINNED]
     return materialize(labelled.select(*keep), "labelled")
 

@@ -11,14 +11,20 @@ from scorespark.operators import features, models
 from scorespark.operators.joins import attach
 from scorespark.operators.rfms import risk_labels
 from scorespark.schema import MODEL_FEATURES
+from scorespark.session import materialize
 
 SCORES = ("recency_score", "frequency_score", "monetary_score", "std_score", "rfms_score", "risk_label")
 
 
-def label_transactions(transactions: DataFrame, *, as_of=None, key: str = "customer_id") -> DataFrame:
-    """Transactions with the scores and the label of their customer."""
-    labelled = risk_labels(transactions, as_of=as_of, key=key).select(key, *SCORES)
-    return attach(transactions, labelled, key)
+def stored_scores(transactions: DataFrame, *, as_of=None, key: str = "customer_id") -> DataFrame:
+    """Scores and label of every customer, stored for several uses."""
+    return materialize(risk_labels(transactions, as_of=as_of, key=key).select(key, *SCORES), "scores")
+
+
+def label_transactions(transactions: DataFrame, *, as_of=None, key: str = "customer_id", scores: DataFrame | None = None) -> DataFrame:
+    """Transactions with the scores and the label of their customer, from ``stored_scores`` if given."""
+    scores = scores if scores is not None else stored_scores(transactions, as_of=as_of, key=key)
+    return attach(transactions, scores, key, cut=False)
 
 
 def model_rows(labelled: DataFrame, *, keep: Sequence[str] = ()) -> DataFrame:

@@ -8,7 +8,9 @@ from scorespark.operators import features, profile
 from scorespark.operators.binning import QuantileBins
 from scorespark.operators.joins import attach
 from scorespark.operators.rfms import risk_labels
-from scorespark.sources.views import transactions
+from scorespark.plans import training
+from scorespark.plans.feature_table import build_feature_table
+from scorespark.sources.views import transactions, transactions_from
 
 
 @pytest.fixture
@@ -101,3 +103,62 @@ def test_quantiles_run_a_plan_once(spark, query):
     else:
         assert exact_quantiles(df, ["y"], [0.0, 0.5, 1.0], small_rows=50) == {"y": [0.0, (n - 1) / 2, n - 1.0]}
     assert read.value == n
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def order_lines(spark):
+    lines = spark.sql(
+        "SELECT id AS l_orderkey, id % 7 AS l_partkey, id % 11 AS l_suppkey, 1 AS l_linenumber, 1.0D * id AS l_extendedprice, 50.0D AS l_quantity, "
+        "if(id % 3 = 0, NULL, 'R') AS l_returnflag, if(id % 5 = 0, NULL, 'O') AS l_linestatus, TIMESTAMP_NTZ'2001-01-01' AS l_shipdate FROM range(100)"
+    )
+    orders = spark.sql("SELECT id AS o_orderkey, id % 9 AS o_custkey, '1-URGENT' AS o_orderpriority FROM range(100)")
+    return lines, orders, spark.sql("SELECT id AS p_partkey, concat('type', id) AS p_type FROM range(7)")
+
+
+def test_lines_are_slim_before_their_joins(spark):
+    df = transactions_from(*order_lines(spark))
+    above = optimized(df).split("Join Inner")[0]
+    assert not [c for c in ("l_returnflag", "l_linestatus", "l_quantity", "l_shipdate") if c in above]
+    rows = {r["batch_id"]: r for r in df.collect()}
+    assert [rows[f"BatchId_{i}"]["amount"] for i in (3, 4)] == [3.0, -4.0]
+    assert [rows[f"BatchId_{i}"]["fraud_result"] for i in (5, 6)] == [0, 1]
+    assert rows["BatchId_8"]["account_id"] == f"AccountId_{8 * 10 + 8 % 3}" and rows["BatchId_8"]["provider_id"] == f"ProviderId_{8 % 6 + 1}"
+
+
+def test_features_turn_ids_into_numbers_before_the_join(spark):
+    plan = optimized(build_feature_table(transactions_from(*order_lines(spark))).rows)
+    assert "split(transaction_id" not in plan
+    assert plan.index("split(concat(TransactionId_") > plan.index("Join LeftOuter, (customer_id")
+
+
+def test_stored_scores_serve_several_joins(spark):
+    rows = transactions_from(*order_lines(spark))
+    scores = training.stored_scores(rows, as_of="2002-01-01 00:00:00")
+    got = training.label_transactions(rows.limit(0), scores=scores)
+    assert got.columns == training.label_transactions(rows, as_of="2002-01-01 00:00:00").columns
+    again = training.label_transactions(rows, scores=scores)
+    assert again.where("risk_label IS NULL").count() == 0 and again.count() == 100
+    assert "Aggregate" not in optimized(again)
+
+
+def test_date_parts_of_written_features_follow_the_join(spark, folder, monkeypatch):
+    from checks import queries
+
+    written = []
+    monkeypatch.setattr(queries.files, "write_table", lambda df, path, **_: (written.append(df), df.limit(5).write.parquet(path)))
+    queries.write_features(spark, folder)
+    plan = optimized(written[0])
+    assert plan.index("hour(") < plan.index("Join LeftOuter")
+    assert written[0].columns[-8:] == ["hour", "day", "month", "year", "total_transaction", "average_transaction", "transaction_count", "std_transaction"]
+
+
+def test_search_keeps_its_labelled_rows(spark, folder, monkeypatch):
+    from checks import queries
+
+    monkeypatch.setattr(queries, "_SEARCHES", {})
+    monkeypatch.setattr(queries.models, "grid_search", lambda data, **_: ([], []))
+    rows = queries.searched(spark, folder)[-1]
+    assert rows.columns == list(queries.MODEL_COLUMNS) and "Join" not in optimized(rows)
