@@ -9,13 +9,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorespark.functions.columns import as_number, categorical_columns, numeric_columns
-from scorespark.functions.quantiles import exact_quantiles
+from scorespark.functions.quantiles import exact_quantiles, group_number, grouped_quantiles
 
 MOST_CATEGORIES = 10
 MOST_SEGMENTS = 50
 BITMAP_BITS = 32_768  # size of Spark's bitmap aggregate
 
 
+def _levels(n_bins: int) -> list[float]:
+    # Multiples of one step, as evenly spaced grids are computed: 3 * 0.2 is not 0.6, and
+    # where a rank falls on a value exactly the last bit decides whether an edge is new.
+    return [*(i * (1.0 / n_bins) for i in range(n_bins)), 1.0]
+
+
+def _distinct(quantiles: Iterable[float | None]) -> list[float]:
+    return sorted({e for e in quantiles if e is not None})
+
+
 @dataclass(frozen=True)
 class QuantileBins:
     """Sorted distinct edges per column; a column with one edge or none has no bins."""
@@ -27,10 +37,8 @@ class QuantileBins:
         """``cut=False`` if the rows of ``df`` are already stored."""
         skip = set(ignore)
         columns = [c for c in (columns if columns is not None else numeric_columns(df)) if c not in skip]
-        # Multiples of one step, as evenly spaced grids are computed: 3 * 0.2 is not 0.6, and
-        # where a rank falls on a value exactly the last bit decides whether an edge is new.
-        found = exact_quantiles(df, columns, [*(i * (1.0 / n_bins) for i in range(n_bins)), 1.0], cut=cut)
-        return cls({c: sorted({e for e in found[c] if e is not None}) for c in columns})
+        found = exact_quantiles(df, columns, _levels(n_bins), cut=cut)
+        return cls({c: _distinct(found[c]) for c in columns})
 
     @property
     def binned(self) -> list[str]:
@@ -40,6 +48,10 @@ class QuantileBins:
     def by(self) -> list[str]:
         return []
 
+    @property
+    def most_bins(self) -> int:
+        return max((len(edges) for edges in self.edges.values()), default=0)
+
     def assign(self, column: str, value: Column | None = None) -> Column:
         """Bin 1..k, intervals closed on the right, the lowest value included; NULL outside."""
         edges = self.edges[column]
@@ -64,9 +76,8 @@ class QuantileBins:
 class SegmentBins:
     """Edges of each column in each segment; ``edges`` is keyed by segment, then column.
 
-    Segments are the values of a column with few of them.  A column's values in
-    one segment are a column of their own for the quantile search, so all
-    segments and columns are searched in the same jobs.
+    Segments are the values of a column with few of them.  All segments and
+    columns are searched in the same jobs, each row with the bounds of its segment.
     """
 
     segment: str
@@ -79,13 +90,8 @@ class SegmentBins:
         if len(found) > most:
             raise ValueError(f"{segment} has more than {most} values")
         segments = sorted(r["s"] for r in found)
-        names = {f"_{i}_{j}": (s, c) for i, s in enumerate(segments) for j, c in enumerate(columns)}
-        parts = [F.when(F.col(segment).cast("string") == s, as_number(c)).alias(n) for n, (s, c) in names.items()]
-        edges: dict[str, dict[str, list[float]]] = {s: {} for s in segments}
-        if names:
-            for n, own in QuantileBins.fit(df.select(*parts), list(names), n_bins=n_bins, cut=cut).edges.items():
-                s, c = names[n]
-                edges[s][c] = own
+        quantiles = grouped_quantiles(df, columns, _levels(n_bins), by=segment, groups=segments, cut=cut)
+        edges = {s: {c: _distinct(own) for c, own in found.items()} for s, found in quantiles.items()}
         return cls(segment, edges)
 
     @property
@@ -96,12 +102,25 @@ class SegmentBins:
     def by(self) -> list[str]:
         return [self.segment]
 
+    @property
+    def most_bins(self) -> int:
+        return max((len(edges) for own in self.edges.values() for edges in own.values()), default=0)
+
     def assign(self, column: str, value: Column | None = None) -> Column:
         """Bin within the row's segment; NULL outside and where a segment has no bins."""
-        out = F.lit(None).cast("int")
-        for s, own in self.edges.items():
-            out = F.when(F.col(self.segment).cast("string") == s, QuantileBins(own).assign(column, value)).otherwise(out)
-        return out
+        found = [own.get(column, []) for own in self.edges.values()]
+        if not any(len(edges) >= 2 for edges in found):
+            return F.lit(None).cast("int")
+        at = group_number(self.segment, list(self.edges))
+        x = as_number(value if value is not None else column)
+
+        def edge(k: int, least: int) -> Column:
+            """The segment's edge ``k``, NULL if it has no more than ``least``."""
+            return F.get(F.array(*[F.lit(edges[k] if len(edges) > least else None).cast("double") for edges in found]), at)
+
+        most = max(len(edges) for edges in found)
+        above = sum((F.when(x > edge(k, k + 1), 1).otherwise(0) for k in range(1, most - 1)), F.lit(1))
+        return F.when((x >= edge(0, 1)) & (x <= edge(-1, 1)), above)
 
     def table(self, spark: SparkSession) -> DataFrame:
         """(segment, variable, bin_id, lower, upper, label), a few rows per segment and column."""

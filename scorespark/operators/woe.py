@@ -43,17 +43,22 @@ def numeric_counts(
     """Counts of both labels per numeric bin.
 
     Bins are computed before the columns are stacked, so each row is stacked as
-    small integers and reduced to (variable, bin) inside its own task.
+    small integers, one for variable and bin, and reduced to those inside its own task.
     """
     spark = df.sparkSession
     keys, binned = list(dict.fromkeys([*bins.by, *by])), bins.binned
     if not binned:
         return spark.createDataFrame([], ", ".join([*(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys), NO_BINS]))
+    step = 1 + bins.most_bins
     wide = df.where(F.col(label).isNotNull()).select(
-        *keys, F.col(label).alias("_y"), *[bins.assign(c).alias(c) for c in binned]
+        *keys, F.col(label).alias("_y"), *[(bins.assign(c) + F.lit(i * step)).alias(c) for i, c in enumerate(binned)]
     )
-    long = wide.unpivot([*keys, "_y"], binned, "variable", "bin_id").where(F.col("bin_id").isNotNull())
-    counted = long.groupBy(*keys, "variable", "bin_id").agg(*_label_counts("_y", good, bad))
+    long = wide.unpivot([*keys, "_y"], binned, "variable", "_code").where(F.col("_code").isNotNull())
+    by_label = long.groupBy(*keys, "_y", "_code").agg(F.count(F.lit(1)).alias("_n"))
+    place, y = F.floor(F.col("_code") / step).cast("int"), F.col("_y")
+    variable = F.get(F.array(*[F.lit(c) for c in binned]), place)
+    sums = [F.sum(F.when(y == v, F.col("_n")).otherwise(0)).alias(n) for n, v in (("good", good), ("bad", bad))]
+    counted = by_label.groupBy(*keys, variable.alias("variable"), (F.col("_code") - place * step).cast("int").alias("bin_id")).agg(*sums, F.sum("_n").alias("total"))
     edges = F.broadcast(bins.table(spark))  # n_bins rows per column and segment
     how = "right" if include_empty and not keys else "inner"
     joined = counted.join(edges, [*bins.by, "variable", "bin_id"], how)
@@ -81,14 +86,12 @@ def categorical_counts(
     if not names:
         return spark.createDataFrame([], NO_BINS)
     keys = list(by)
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("value")) for c in names])
-    ).alias("p")
     counted = (
         df.where(F.col(label).isNotNull())
-        .select(*keys, F.col(label).alias("_y"), pairs)
-        .where(F.col("p.value").isNotNull())
-        .groupBy(*keys, F.col("p.variable").alias("variable"), F.col("p.value").alias("label"))
+        .select(*keys, F.col(label).alias("_y"), *[F.col(c).cast("string").alias(f"_v{i}") for i, c in enumerate(names)])
+        .unpivot([*keys, "_y"], [f"_v{i}" for i in range(len(names))], "_v", "label")
+        .where(F.col("label").isNotNull())
+        .groupBy(*keys, F.element_at(F.create_map(*[F.lit(x) for i, c in enumerate(names) for x in (f"_v{i}", c)]), F.col("_v")).alias("variable"), "label")
         .agg(*_label_counts("_y", good, bad))
     )
     order = Window.partitionBy(*keys, "variable").orderBy("label")  # at most `most` rows each
