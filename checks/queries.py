@@ -464,9 +464,9 @@ def woe_transform(spark, sf):
     """Every variable of every row replaced by its evidence, a row each."""
     rows = evidence.labelled_rows(tx(spark, sf), as_of=AS_OF, columns=[*DESCRIBING, "transaction_id"])
     e = evidence.build_evidence(rows)
-    encoder = e.encoder
+    encoder = woe.EvidenceEncoder.fit(rounded(e.numeric), rounded(e.categorical), e.bins)  # a few bins are rounded, not every value
     replaced = encoder.transform(rows).select("transaction_id", *[F.col(o).alias(v) for v, o in zip(encoder.variables, encoder.outputs)])
-    return rounded(replaced.unpivot(["transaction_id"], encoder.variables, "variable", "woe"))
+    return replaced.unpivot(["transaction_id"], encoder.variables, "variable", "woe")
 
 
 @query

@@ -68,3 +68,10 @@ def test_segment_bins_and_counts_agree_with_each_segment_alone(grouped):
         if own.binned:
             alone |= {(s, r["variable"], r["bin_id"]): (r["good"], r["bad"], r["total"]) for r in woe.numeric_counts(part, own).collect()}
     assert both == alone
+
+
+def test_evidence_is_rounded_by_bin_not_by_row(spark, folder):
+    from checks.queries import QUERIES
+
+    plan = QUERIES["woe_transform"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert "round(" not in plan
