@@ -484,14 +484,12 @@ def iv_by_segment(spark, sf):
 @query
 def scorecard_roundtrip(spark, sf):
     """A scorecard on the evidence of all variables, before saving, after loading, and over a stream: rows, and rows with equal answers."""
-    e = evidence.build_evidence(labelled(spark, sf))
-    model = evidence.fit_scorecard(e)
     path, arriving, out = (new_path(spark, n) for n in ("scorecard", "arriving", "scored"))
+    rows = evidence.labelled_rows(tx(spark, sf), as_of=AS_OF, number="_row", path=arriving)
+    e = evidence.build_evidence(rows, ignore=[*evidence.NOT_BINNED, "_row"])
+    model = evidence.fit_scorecard(e)
     model.write().save(path)
     loaded = PipelineModel.load(path)
-    rows = e.rows.withColumn("_row", F.monotonically_increasing_id())
-    rows.write.parquet(arriving)
-    rows = spark.read.schema(rows.schema).parquet(arriving)
     stream = loaded.transform(spark.readStream.schema(rows.schema).parquet(arriving)).select("_row", "predicted_label")
     running = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", new_path(spark, "progress"))
     running.trigger(availableNow=True).start().awaitTermination()

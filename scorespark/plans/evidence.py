@@ -54,14 +54,25 @@ class Evidence:
         return woe.woe_table(woe.categorical_counts(self.rows, ignore=self.ignore, good=self.good, bad=self.bad))
 
 
-def labelled_rows(transactions: DataFrame, *, as_of=None, columns: Sequence[str] | None = None, scores: DataFrame | None = None) -> DataFrame:
+def labelled_rows(
+    transactions: DataFrame,
+    *,
+    as_of=None,
+    columns: Sequence[str] | None = None,
+    scores: DataFrame | None = None,
+    number: str | None = None,
+    path: str | None = None,
+) -> DataFrame:
     """Labelled transactions, stored once because edges and counts each read them.
 
     Without ``columns`` everything but the identifying columns is stored.
+    ``number`` names a further column, a number of its own for every stored row.
+    ``path`` is where they are stored, for instance to be read as a stream as well.
     """
     labelled = label_transactions(transactions, as_of=as_of, scores=scores)
     keep = columns if columns is not None else [c for c in labelled.columns if c not in NOT_BINNED]
-    return materialize(labelled.select(*keep), "labelled")
+    numbered = [F.monotonically_increasing_id().alias(number)] if number else []
+    return materialize(labelled.select(*keep, *numbered), "labelled", path)
 
 
 def build_evidence(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from scorespark.functions import quantiles
 from scorespark.operators import woe
 from scorespark.operators.binning import QuantileBins, SegmentBins
+from scorespark.plans import evidence
 
 PROBS = [0.0, 0.2, 0.5, 0.55, 0.999, 1.0]
 
@@ -70,6 +71,15 @@ def test_segment_bins_and_counts_agree_with_each_segment_alone(grouped):
     assert both == alone
 
 
+def test_labelled_rows_are_numbered_and_stored_where_asked(spark, tmp_path):
+    scores = spark.createDataFrame([("c1", 1.0, "Good")], "customer_id string, rfms_score double, risk_label string")
+    txns = spark.range(100).select(F.lit("c1").alias("customer_id"), F.col("id").alias("amount")).repartition(4)
+    rows = evidence.labelled_rows(txns, scores=scores, number="_row", path=str(tmp_path / "rows"))
+    assert rows.columns == ["amount", "rfms_score", "risk_label", "_row"] and rows.select("_row").distinct().count() == 100
+    assert spark.read.parquet(str(tmp_path / "rows")).count() == 100
+    assert evidence.build_evidence(rows, ignore=[*evidence.NOT_BINNED, "_row"]).numeric_names == ["amount", "rfms_score"]
+
+
 def test_evidence_is_rounded_by_bin_not_by_row(spark, folder):
     from checks.queries import QUERIES
 
