@@ -15,7 +15,7 @@ import pytest
 from scorespark.llm import gru
 from scorespark.llm.blocks import slices, split_words
 from scorespark.llm.html_text import page_text, visible_text
-from scorespark.llm.language_model import language_model_scores, token_counts, vocabulary
+from scorespark.llm.language_model import _pieces, language_model_scores, token_counts, vocabulary
 from scorespark.llm.licences import file_licences
 from scorespark.llm.repetition import covered, repetition_rules, suffix_matches
 
@@ -235,6 +235,68 @@ def test_gru_learns_from_every_window():
     assert skipping.words == len(text)
 
 
+def test_a_word_of_a_large_vocabulary_costs_few_outputs():
+    net = gru.Network.initial(1e7 / np.arange(1, (1 << 18) + 3))
+    bands = net.bands
+    assert len(net.class_bias) + net.size + bands.levels.max() <= 128
+    assert len(net.inputs) == (1 << 18) + 2 and len(net.nodes) >= len(net.inputs) - bands.head - len(bands.starts)
+
+
+def test_words_of_bands_share_a_distribution(monkeypatch):
+    monkeypatch.setattr(gru, "WHOLE", 80)
+    monkeypatch.setattr(gru, "HEAD", 16)
+    rng = np.random.default_rng(2)
+    for n in (81, 129, 145, 200):
+        counts = np.sort(rng.integers(0, 50, n).astype(float))[::-1]
+        net = gru.Network.initial(counts)
+        net.classes[:] = 0
+        started = np.exp([gru.text_logs(net, [np.array([w])], 3)[0] for w in range(n)])
+        net.places[:] = 0
+        plain = np.exp([gru.text_logs(net, [np.array([w])], 3)[0] for w in range(n)])
+        assert np.allclose(plain, (counts + 1) / (counts + 1).sum(), rtol=1e-4) and abs(started.sum() - 1) < 1e-4
+        net = gru.Network.initial(counts)
+        net.nodes[:, : gru.HIDDEN] = rng.normal(0, 1, (len(net.nodes), gru.HIDDEN))
+        logs = [gru.text_logs(net, [np.array([5, w])], 3)[0] - gru.text_logs(net, [np.array([5])], 3)[0] for w in range(n)]
+        assert abs(np.exp(logs).sum() - 1) < 1e-4
+
+
+def test_gru_slopes_equal_finite_differences(monkeypatch):
+    monkeypatch.setattr(gru, "WHOLE", 80)
+    monkeypatch.setattr(gru, "HEAD", 16)
+    rng = np.random.default_rng(4)
+    net = gru.Network.initial(np.arange(150, 0, -1.0))
+    net.nodes[:, : gru.HIDDEN] = rng.normal(0, 0.3, (len(net.nodes), gru.HIDDEN))
+    texts = [np.append(rng.integers(1, 150, n), 0) for n in (9, 3, 14)]
+    slopes = [np.zeros(a.shape) for a in net.arrays()]
+
+    def collect(self, k, at, slope):
+        slopes[k][at] += slope
+
+    monkeypatch.setattr(gru.Trainer, "_step", collect)
+    gru.Trainer(net).train(texts, 0)
+    for k, array in enumerate(net.arrays()):
+        for at in np.argsort(-np.abs(slopes[k]).ravel())[:6]:
+            place, sides = np.unravel_index(at, array.shape), []
+            for step in (0.01, -0.02):
+                array[place] += np.float32(step)
+                sides.append(gru.text_logs(net, texts, 0).sum())
+            array[place] += np.float32(0.01)
+            assert np.isclose((sides[1] - sides[0]) / 0.02 * gru.SHARE, slopes[k][place], rtol=0.05, atol=2e-5)
+
+
+def test_moves_of_one_task_make_its_network():
+    start = gru.Network.initial(np.arange(9000, 0, -1.0))
+    trainer = gru.Trainer(start.like(start.flat()))
+    trainer.train([np.append(np.random.default_rng(3).integers(0, 9000, 400), 0)], 0)
+    sums = [np.zeros((len(a), a[:1].size)) for a in start.arrays()]
+    for batch in _pieces(trainer, start):
+        for row in batch.to_pylist():
+            moves = np.frombuffer(row["moves"], "<f2").reshape(len(row["n"]) // 8, -1)
+            sums[row["piece"] >> 40][(at := row["piece"] & ((1 << 40) - 1)) : at + len(moves)] += moves
+    for moved, a, b in zip(sums, start.arrays(), trainer.net.arrays(), strict=True):
+        assert np.allclose(moved, (b - a).reshape(moved.shape), rtol=1e-3, atol=1e-6)
+
+
 def test_every_common_word_has_a_number_of_its_own(documents):
     text = " ".join(f"w{k}" for k in range(6000))
     vocab = vocabulary(token_counts(documents([(1, text), (2, text)])))
