@@ -32,7 +32,7 @@ from scorespark.operators.scaling import Scaler
 from scorespark.plans import evidence, training
 from scorespark.plans.feature_table import build_feature_table
 from scorespark.schema import MODEL_FEATURES, SCORING_REQUEST, SOURCE_NAMES
-from scorespark.session import materialize, new_path
+from scorespark.session import materialize, materialize_by_key, new_path, shuffles_freed
 from scorespark.sources import transactions as files
 from scorespark.sources import views
 from scorespark.sources.artefacts import Artefacts
@@ -135,15 +135,22 @@ def first_rows(spark, sf):
     return files.first_rows(tx(spark, sf), *ROW_ORDER, n=5)
 
 
+# Fixed value: rows whose features are joined and written at once, or a sixteenth of all if that is more.
+FEATURE_ROWS = 8_000_000
+
+
 @query
 def write_features(spark, sf):
     path = new_path(spark, "features")
-    joined = features.with_customer_aggregates(tx(spark, sf))
-    # The parts follow from the time: they are added behind the join's shuffle, and put before the aggregates.
-    aggregates = features.customer_aggregates(tx(spark, sf)).columns[1:]
-    dated = features.add_date_parts(joined)
-    table = dated.select(*[c for c in dated.columns if c not in aggregates], *aggregates)
-    files.write_table(table, path, partition_by=("year", "month"))
+    with shuffles_freed(spark):
+        # Whole rows cross a shuffle by customer and one by month: those of some customers are gone before the next ones' begin.
+        for i, rows in enumerate(materialize_by_key(tx(spark, sf), "customer_id", "transactions", part_rows=FEATURE_ROWS)):
+            joined = features.with_customer_aggregates(rows)
+            # The parts follow from the time: they are added behind the join's shuffle, and put before the aggregates.
+            aggregates = features.customer_aggregates(rows).columns[1:]
+            dated = features.add_date_parts(joined)
+            table = dated.select(*[c for c in dated.columns if c not in aggregates], *aggregates)
+            files.write_table(table, path, partition_by=("year", "month"), mode="append" if i else "overwrite", compression="zstd")
     # Folder values are given their type here rather than guessed from the folder names.
     stored = spark.read.schema(table.schema).parquet(path)
     return rounded(stored, 4)

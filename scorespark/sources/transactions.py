@@ -44,14 +44,17 @@ def write_table(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
+    compression: str | None = None,
 ) -> None:
-    """Write a processed table.
+    """Write a processed table; ``compression`` is the format's usual one unless one is named.
 
     Rows are rebalanced on the partition columns first, so that a folder gets a
     few files of a good size and a large folder is still written by many tasks.
     """
     writer = df.hint("rebalance", *partition_by) if partition_by else df
     out = writer.write.mode(mode).format(fmt)
+    if compression:
+        out = out.option("compression", compression)
     if partition_by:
         out = out.partitionBy(*partition_by)
     if fmt == "csv":

@@ -14,7 +14,8 @@ def transactions_from(lines: DataFrame, orders: DataFrame, parts: DataFrame) ->
     """Order lines as transactions.  Works on a batch or a streaming ``lines``.
 
     Columns are computed from a line alone before the joins, so that the
-    shuffles carry numbers instead of texts.
+    shuffles carry numbers instead of texts.  Orders come last: lines of an order
+    then lie side by side, and what they share compresses in the next shuffle.
     """
     line = F.col("l_linenumber")
     hour = ((F.col("l_orderkey") * 7 + line) % 24).cast("int")
@@ -26,8 +27,8 @@ def transactions_from(lines: DataFrame, orders: DataFrame, parts: DataFrame) ->
         (F.col("l_shipdate") + F.make_dt_interval(hours=hour)).alias("_ts"),
         F.coalesce((F.col("l_linestatus") == "O") & (F.col("l_quantity") >= 49), F.lit(False)).alias("_fraud"),
     )
-    joined = slim.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        parts, F.col("l_partkey") == F.col("p_partkey")
+    joined = slim.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
+        orders, F.col("l_orderkey") == F.col("o_orderkey")
     )
     return joined.select(
         numbered("TransactionId", F.col("l_orderkey") * 10 + line).alias("transaction_id"),

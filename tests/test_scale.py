@@ -1,5 +1,8 @@
 """Plans that must hold when one key owns a third of all rows."""
 
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ from scorespark.operators.joins import attach
 from scorespark.operators.rfms import risk_labels
 from scorespark.plans import training
 from scorespark.plans.feature_table import build_feature_table
+from scorespark.session import materialize_by_key
 from scorespark.sources.views import transactions, transactions_from
 
 
@@ -155,6 +159,51 @@ def test_date_parts_of_written_features_follow_the_join(spark, folder, monkeypat
     assert written[0].columns[-8:] == ["hour", "day", "month", "year", "total_transaction", "average_transaction", "transaction_count", "std_transaction"]
 
 
+def shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for top in folders for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+
+
+def test_written_features_leave_no_shuffle_files(spark, folder):
+    from checks import queries
+
+    before = shuffle_files(spark)
+    queries.write_features(spark, folder)
+    until = time.time() + 30  # files are removed in the background
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_features_are_written_in_parts(spark, folder, monkeypatch):
+    from checks import queries
+
+    whole = sorted(queries.write_features(spark, folder).collect(), key=str)
+    written, write = [], queries.files.write_table
+    monkeypatch.setattr(queries, "FEATURE_ROWS", 1000)
+    monkeypatch.setattr(queries.files, "write_table", lambda df, path, **how: (written.append(df), write(df, path, **how)))
+    assert sorted(queries.write_features(spark, folder).collect(), key=str) == whole
+    assert len(written) == 6 and all("l_orderkey" not in optimized(df) for df in written)
+
+
+def test_rows_of_a_key_are_stored_in_one_part(spark):
+    rows = hot_rows(spark, 6000).union(spark.sql("SELECT CAST(NULL AS STRING), 'n', 'n', NULL FROM range(300)"))
+    parts = materialize_by_key(rows, "customer_id", part_rows=1000, most=4)
+    keys = [{r[0] for r in part.select("customer_id").distinct().collect()} for part in parts]
+    assert len(parts) == 4 and sum(map(len, keys)) == len(set.union(*keys)) == rows.select("customer_id").distinct().count()
+    stored = parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    assert stored.dtypes == rows.dtypes and stored.count() == 6300 and not stored.exceptAll(rows).count()
+    (empty,) = materialize_by_key(rows.limit(0), "customer_id", part_rows=1000)
+    assert empty.columns == rows.columns and not empty.count()
+
+
+def test_lines_reach_their_orders_last(spark):
+    """Lines of an order then lie side by side, and their equal texts make the shuffles behind smaller."""
+    plan = optimized(transactions_from(*order_lines(spark)))
+    assert plan.index("Join Inner, (l_orderkey") < plan.index("Join Inner, (l_partkey")
+
+
 def test_search_keeps_its_labelled_rows(spark, folder, monkeypatch):
     from checks import queries
 
